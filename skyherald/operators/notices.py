@@ -58,7 +58,7 @@ def parse_json_notices(routed: DataFrame) -> DataFrame:
 def parsed_once(df: DataFrame, *columns: str) -> DataFrame:
     """Pass columns through a one-element explode, which later filters are not pushed below.
 
-    A filter on a value extracted from a parse would otherwise be rewritten onto the message text and parse
+    A filter on a computed value is otherwise rewritten onto the inputs of the computation: here it would parse
     every message again, once per use of the parse in the condition.
     """
     rest = [c for c in df.columns if c not in columns]
@@ -173,7 +173,7 @@ def parse_notices(raw: DataFrame, test: bool = False, observatories=OBSERVATORIE
         .when(circle & F.col("region_arcmin").isNull(), "unknown instrument")
         .when(alert & (F.col("format") == "json") & F.col("skymap").isNull(), "no sky map")
     )
-    return df.withColumn("reason", reason)
+    return parsed_once(df.withColumn("reason", reason), "reason")
 
 
 def dead_letter(parsed: DataFrame) -> DataFrame:

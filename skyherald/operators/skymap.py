@@ -47,7 +47,7 @@ def decode_skymap(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 def skymap_explode(notices: DataFrame, skymap: str = "skymap", key=KEY) -> DataFrame:
     """Notices with a base64 sky map -> pixel rows, each map decoded once."""
-    maps = notices.filter(F.col(skymap).isNotNull()).select(*key, decode_skymap(skymap).alias("m"))
+    maps = notices.select(*key, decode_skymap(skymap).alias("m"))
     zipped = F.arrays_zip(F.col("m.uniq").alias("uniq"), F.col("m.probdensity").alias("probdensity"))
     # outer: the inner form would add a filter on the array, which decodes every map a second time
     return (

@@ -60,12 +60,12 @@ def skew_join(
         .select(*on, F.ceil(F.col("__n") / rows_per_salt).cast("int").alias("__salts"))
     )
     salted_big = (
-        big.join(hot, on, "left")
+        big.join(F.broadcast(hot), on, "left")
         .withColumn("__salt", F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("__salts")).cast("int"), F.lit(0)))
         .drop("__salts")
     )
     salted_small = (
-        small.join(hot, on, "left")
+        small.join(F.broadcast(hot), on, "left")
         .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)))
         .drop("__salts")
     )
