@@ -14,7 +14,7 @@ from skyherald.observatories import (
     OBSERVATORIES, error_radius, is_listened, per_observatory, stored_radius, topic_table,
 )
 from skyherald.operators.skymap import decode_skymap, map_summary
-from skyherald.plans.sizing import running_sum
+from skyherald.plans.sizing import computed_once, running_sum
 
 VOEVENT = """
 _ivorn string, _role string,
@@ -55,17 +55,6 @@ def parse_json_notices(routed: DataFrame) -> DataFrame:
     return routed.withColumn("json", F.from_json(text, GW_ALERT, _PARSE))
 
 
-def parsed_once(df: DataFrame, *columns: str) -> DataFrame:
-    """Pass columns through a one-element explode, which later filters are not pushed below.
-
-    A filter on a computed value is otherwise rewritten onto the inputs of the computation: here it would parse
-    every message again, once per use of the parse in the condition.
-    """
-    rest = [c for c in df.columns if c not in columns]
-    once = df.select(*rest, F.explode(F.array(F.struct(*columns))).alias("__once"))
-    return once.select(*rest, "__once.*")
-
-
 def top_param(name: Column | str) -> Column:
     """Value of a top-level parameter (those inside groups do not count); the last one if it is repeated."""
     name = F.lit(name) if isinstance(name, str) else name
@@ -139,7 +128,7 @@ def parse_notices(raw: DataFrame, test: bool = False, observatories=OBSERVATORIE
     ack = F.col("timestamp") if "timestamp" in raw.columns else F.current_timestamp()
     df = raw.withColumn("ackTime", ack).select("topic", "value", "ackTime")
     df = parse_json_notices(parse_xml_notices(route_format(df, observatories)))
-    df = detect_observatory(parsed_once(df, "xml", "json"), observatories)
+    df = detect_observatory(computed_once(df, "xml", "json"), observatories)
     df = extract_instrument(df.withColumn("packet_type", packet_type()), observatories)
     ra, dec, error_deg = extract_position()
     df = df.withColumns(
@@ -173,7 +162,7 @@ def parse_notices(raw: DataFrame, test: bool = False, observatories=OBSERVATORIE
         .when(circle & F.col("region_arcmin").isNull(), "unknown instrument")
         .when(alert & (F.col("format") == "json") & F.col("skymap").isNull(), "no sky map")
     )
-    return parsed_once(df.withColumn("reason", reason), "reason")
+    return computed_once(df.withColumn("reason", reason), "reason")
 
 
 def dead_letter(parsed: DataFrame) -> DataFrame:

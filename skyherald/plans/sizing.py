@@ -19,6 +19,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def computed_once(df: DataFrame, *columns: str) -> DataFrame:
+    """Pass columns through a one-element explode, which later filters are not pushed below.
+
+    A filter on a computed value is otherwise rewritten onto the inputs of the computation: after a parse, it would
+    parse every message again, once per use of the parse in the condition.
+    """
+    rest = [c for c in df.columns if c not in columns]
+    once = df.select(*rest, F.explode(F.array(F.struct(*columns))).alias("__once"))
+    return once.select(*rest, "__once.*")
+
+
 def total(df: DataFrame, rows: Column) -> int:
     """Sum of a per-row bound over a table: one aggregate, one number to the driver."""
     return df.agg(F.coalesce(F.sum(rows), F.lit(0)).cast("bigint").alias("n")).first()["n"]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyherald.functions.time import iso_utc, to_jd
-from skyherald.plans.sizing import spread
+from skyherald.plans.sizing import computed_once, spread
 from skyherald.session import configure
 
 NIGHT = "20240115"
@@ -208,7 +208,7 @@ def _pixel_array() -> Column:
 
 def map_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gravitational-wave notices with their pixels as an array."""
-    return (
+    rows = (
         events(spark, sf_dir)
         .filter(F.col("event_type") == "error")
         .select(
@@ -217,6 +217,7 @@ def map_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
             to_jd(F.col("ts")).alias("triggerTimejd"), _pixel_array().alias("pixels"),
         )
     )
+    return computed_once(rows, "pixels")
 
 
 def skymap_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:

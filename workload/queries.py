@@ -18,7 +18,7 @@ from skyherald.operators import notices as nt
 from skyherald.operators import regions as rg
 from skyherald.operators import skymap as sm
 from skyherald.operators.validate import ALERT_RULES, NOTICE_RULES, validate
-from skyherald.plans.sizing import spread
+from skyherald.plans.sizing import computed_once
 from skyherald.sources.tables import lookup_notice
 from workload import derive as dv
 from workload import oracle as sq
@@ -142,9 +142,9 @@ def ang2pix_ring(spark, sf):
     )
 
 
-@query(f"select event_id, round({sq.JD}, 6) as jd from events")
+@query(f"select event_id, round({sq.JD} * 1e5)::bigint as jd_e5 from events")
 def to_julian_date(spark, sf):
-    return dv.events(spark, sf).select("event_id", rnd(to_jd(F.col("ts")), 6).alias("jd"))
+    return dv.events(spark, sf).select("event_id", F.round(to_jd(F.col("ts")) * 1e5).cast("bigint").alias("jd_e5"))
 
 
 @query(f"""select event_id, round(({sq.JD} - 2451545::double) * 86400000000::double)::bigint + 946728000000000
@@ -387,7 +387,7 @@ def route_format(spark, sf):
   from events where {_XML_OK}""")
 def parse_xml_notices(spark, sf):
     p = nt.parse_xml_notices(nt.route_format(dv.raw_xml(spark, sf)))
-    p = nt.parsed_once(p, "xml").filter(F.col("xml._ivorn").isNotNull() & F.col("xml._corrupt").isNull())
+    p = computed_once(p, "xml").filter(F.col("xml._ivorn").isNotNull() & F.col("xml._corrupt").isNull())
     ra, dec, err = nt.extract_position()
     return p.select(
         F.substring_index("xml._ivorn", "!", 1).alias("ivorn"), F.col("xml._role").alias("role"),
@@ -406,7 +406,7 @@ _DETECTORS = "case when event_id % 13 = 0 then null when event_id % 2 = 0 then '
   case when event_id % 13 = 0 then null else (ceil((5760 + ceil(n * 16 / 2880.0) * 2880) / 3) * 4)::int end as map_length
   from events join (select event_id, count(*) as n from {sq.PIXELS} group by event_id) using (event_id) where {_JSON_OK}""")
 def parse_json_notices(spark, sf):
-    p = nt.parsed_once(nt.parse_json_notices(nt.route_format(dv.raw_json(spark, sf))), "json")
+    p = computed_once(nt.parse_json_notices(nt.route_format(dv.raw_json(spark, sf))), "json")
     return p.filter(F.col("json._corrupt").isNull()).select(
         "json.superevent_id", "json.alert_type", F.array_join("json.event.instruments", "_").alias("instruments"),
         "json.event.significant", F.length("json.event.skymap").alias("map_length"),
@@ -414,7 +414,7 @@ def parse_json_notices(spark, sf):
 
 
 def _parsed_xml(spark, sf) -> DataFrame:
-    p = nt.parsed_once(nt.parse_json_notices(nt.parse_xml_notices(nt.route_format(dv.raw_notices(spark, sf)))), "xml", "json")
+    p = computed_once(nt.parse_json_notices(nt.parse_xml_notices(nt.route_format(dv.raw_notices(spark, sf)))), "xml", "json")
     p = p.filter(F.col("xml._ivorn").isNotNull() | F.col("json.superevent_id").isNotNull())
     return nt.detect_observatory(p)
 
@@ -600,6 +600,7 @@ def uniq_decode(spark, sf):
 def skymap_explode(spark, sf):
     """Decodes the base64 FITS text of every map notice."""
     maps = dv.map_notices(spark, sf).select("triggerId", "gcn_status", dv.fits_text("pixels").alias("skymap"))
+    maps = computed_once(maps, "skymap")
     return sm.skymap_explode(maps).select("triggerId", "row_idx", "uniq", rnd("probdensity", 9).alias("probdensity"))
 
 
