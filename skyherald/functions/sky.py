@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_LEVEL = 29  # finest level whose UNIQ number fits a bigint
@@ -104,6 +104,40 @@ def ang2pix_ring(nside: int, ra: Column, dec: Column) -> Column:
     return _ring_cell(is_nside(nside), F.sin(theta), F.cos(theta), F.pmod(ra / 90.0, F.lit(4.0)))
 
 
+def with_ring_cells(df: DataFrame, ra: str, dec: str, nsides: list[int], prefix: str) -> DataFrame:
+    """Add `<prefix><NSIDE>`, the RING cell on each grid, in steps that name every intermediate value.
+
+    Same result as `ang2pix_ring`. As steps, the generated code computes each value once, shares the trigonometry
+    among the grids, and stays small enough that the JVM compiles the join loop it becomes part of.
+    """
+    c, names = F.col, ("__z", "__tt", "__t", "__tp")
+    theta = F.radians(c(dec))
+    df = df.withColumns({"__z": F.sin(theta), "__tt": F.pmod(c(ra) / 90.0, F.lit(4.0))})
+    df = df.withColumns(
+        {"__t": math.sqrt(3.0) * F.cos(theta) / F.sqrt(1 + F.abs("__z")), "__tp": c("__tt") - F.floor("__tt")}
+    )
+    belt = F.abs("__z") <= 2.0 / 3.0
+    lines = {}
+    for n in map(is_nside, nsides):
+        a, b, t = n * (0.5 + c("__tt")), 0.75 * n * c("__z"), n * c("__t")
+        lines[f"__jp{n}"] = F.floor(F.when(belt, a - b).otherwise(c("__tp") * t))
+        lines[f"__jm{n}"] = F.floor(F.when(belt, a + b).otherwise((1 - c("__tp")) * t))
+    df = df.withColumns(lines)
+    rings = {f"__r{n}": F.when(belt, n + 1 + c(f"__jp{n}") - c(f"__jm{n}")).otherwise(c(f"__jp{n}") + c(f"__jm{n}") + 1) for n in nsides}
+    df = df.withColumns(rings)
+    cells = {}
+    for n in nsides:
+        ring, turn = c(f"__r{n}"), c(f"__jp{n}") + c(f"__jm{n}") - n + 2
+        ip = F.pmod(F.shiftright(turn - ring.bitwiseAND(F.lit(1)), 1), F.lit(4 * n))
+        cap = F.pmod(F.floor(c("__tt") * ring), 4 * ring)
+        cells[f"{prefix}{n}"] = (
+            F.when(belt, 2 * n * (n - 1) + (ring - 1) * (4 * n) + ip)
+            .when(c("__z") > 0, 2 * ring * (ring - 1) + cap)
+            .otherwise(12 * n * n - 2 * ring * (ring + 1) + cap)
+        )
+    return df.withColumns(cells).drop(*names, *lines, *rings)
+
+
 def _ring_above(nside: int, z: Column) -> Column:
     """Number of the last ring whose centres lie at or above z (0 above the first)."""
     n = nside

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skyherald.functions import probability, sky
 from skyherald.observatories import OBSERVATORIES, per_observatory, rate_of
-from skyherald.operators.regions import TIERS, Tier, cover_bound, with_alert_keys, with_notice_keys
+from skyherald.operators.regions import TIERS, Tier, used_tiers, with_alert_keys, with_notice_keys
 from skyherald.plans.sizing import BROADCAST_ROWS, skew_join, total
 
 # an association accepts separations up to this multiple of the error radius
@@ -50,9 +50,12 @@ def crossmatch(
     stays small: then the alerts are not shuffled. Otherwise both sides are shuffled by cell and hot cells are
     salted.
     """
-    cells = total(notices, cover_bound(F.col("region_arcmin") / 60.0 * cover_factor, tiers))
+    # a cover as wide as the cone is refined exactly, so a coarser and cheaper one gives the same pairs
+    complete = cone_factor is not None and cone_factor <= cover_factor
+    oversampling = 2 if complete else 4
+    tiers, cells = used_tiers(notices, cover_factor, tiers, oversampling)
     left = with_alert_keys(_with_vector(alerts, "ztf_ra", "ztf_dec", _ALERT_VECTOR), tiers)
-    right = with_notice_keys(_with_vector(notices, "gcn_ra", "gcn_dec", _NOTICE_VECTOR), cover_factor, tiers)
+    right = with_notice_keys(_with_vector(notices, "gcn_ra", "gcn_dec", _NOTICE_VECTOR), cover_factor, tiers, oversampling)
     cond = F.col("jdstarthist") > F.col("triggerTimejd")
     if cone_factor is not None:
         right = right.withColumn("__reach", sky.chord2_of(F.col("region_arcmin") / 60.0 * cone_factor))

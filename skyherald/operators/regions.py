@@ -27,24 +27,17 @@ def tier_of(radius_deg: Column, tiers: tuple[Tier, ...]) -> list[tuple[int, Colu
     return out
 
 
-def cover_cells(ra: Column, dec: Column, radius_deg: Column, tiers: tuple[Tier, ...] = TIERS) -> Column:
+def cover_cells(
+    ra: Column, dec: Column, radius_deg: Column, tiers: tuple[Tier, ...] = TIERS, oversampling: int = 4
+) -> Column:
     """Array of the cell keys a circle may overlap, on the grid of its tier."""
     chain = None
     for nside, mine in tier_of(radius_deg, tiers):
-        keys = sky.disc_cells(nside, ra, dec, radius_deg, first_key=4 * nside * nside)
+        keys = sky.disc_cells(nside, ra, dec, radius_deg, oversampling, first_key=4 * nside * nside)
         chain = F.when(mine, keys) if chain is None else chain.when(mine, keys)
     return chain
 
 
-def cover_bound(radius_deg: Column, tiers: tuple[Tier, ...] = TIERS) -> Column:
-    """Upper bound of the number of keys of a circle, without building them."""
-    chain = None
-    for nside, mine in tier_of(radius_deg, tiers):
-        bound = sky.disc_cell_bound(nside, radius_deg)
-        chain = F.when(mine, bound) if chain is None else chain.when(mine, bound)
-    return chain
-
-
 def circle_cover(notices: DataFrame, nside: int, cover_factor: float = 1.0) -> DataFrame:
     """Add `hpix_circle`, the RING cells that may overlap the notice's error circle."""
     radius = F.col("region_arcmin") / 60.0 * cover_factor
@@ -64,22 +57,33 @@ def notice_cells(circles: DataFrame, map_cells: DataFrame, nside: int, cover_fac
     )
 
 
-def alert_keys(ra: Column, dec: Column, tiers: tuple[Tier, ...] = TIERS) -> Column:
-    """Array with the alert's cell key on every tier's grid."""
-    return F.array(*[sky.ang2pix_ring(n, ra, dec) + 4 * n * n for n, _ in tiers])
-
-
-def with_notice_keys(notices: DataFrame, cover_factor: float, tiers: tuple[Tier, ...] = TIERS) -> DataFrame:
+def with_notice_keys(
+    notices: DataFrame, cover_factor: float, tiers: tuple[Tier, ...] = TIERS, oversampling: int = 4
+) -> DataFrame:
     """One row per (circle notice, cell key)."""
     radius = F.col("region_arcmin") / 60.0 * cover_factor
     # outer, since a cover is never empty and the optimiser would test that by building it a second time
-    return notices.withColumn("cell", F.explode_outer(cover_cells(F.col("gcn_ra"), F.col("gcn_dec"), radius, tiers)))
+    return notices.withColumn("cell", F.explode_outer(cover_cells(F.col("gcn_ra"), F.col("gcn_dec"), radius, tiers, oversampling)))
 
 
 def with_alert_keys(alerts: DataFrame, tiers: tuple[Tier, ...] = TIERS) -> DataFrame:
     """One row per (alert, grid); a single grid needs no explode."""
-    ra, dec = F.col("ztf_ra"), F.col("ztf_dec")
-    if len(tiers) == 1:
-        nside = tiers[0][0]
-        return alerts.withColumn("cell", sky.ang2pix_ring(nside, ra, dec) + 4 * nside * nside)
-    return alerts.withColumn("cell", F.explode_outer(alert_keys(ra, dec, tiers)))
+    grids = [n for n, _ in tiers]
+    keyed = sky.with_ring_cells(alerts, "ztf_ra", "ztf_dec", grids, "__cell")
+    keys = [F.col(f"__cell{n}") + 4 * n * n for n in grids]
+    cell = keys[0] if len(keys) == 1 else F.explode_outer(F.array(*keys))
+    return keyed.withColumn("cell", cell).drop(*[f"__cell{n}" for n in grids])
+
+
+def used_tiers(
+    notices: DataFrame, cover_factor: float, tiers: tuple[Tier, ...] = TIERS, oversampling: int = 4
+) -> tuple[tuple[Tier, ...], int]:
+    """(tiers that some notice uses, bound of the number of notice cells), from one aggregate over the notices."""
+    radius = F.col("region_arcmin") / 60.0 * cover_factor
+    bounds = [
+        F.sum(F.when(mine, sky.disc_cell_bound(nside, radius, oversampling))).alias(f"t{i}")
+        for i, (nside, mine) in enumerate(tier_of(radius, tiers))
+    ]
+    found = notices.agg(*bounds).first()
+    used = tuple(t for t, n in zip(tiers, found) if n)
+    return used or tiers[-1:], sum(n or 0 for n in found)
