@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyherald.functions import sky
-from skyherald.plans.sizing import running_sum, skew_join
+from skyherald.plans.sizing import running_sum, skew_join, total
 from skyherald.sources import fits
 
 KEY = ("triggerId", "gcn_status")
@@ -267,6 +267,10 @@ def skymap_match(
             "shiftright", F.col("ipix"), (2 * (F.col("level") - grid)).cast("int"))).alias("hpix"),
     )
     inside = fine.join(cells, [*KEY, "hpix"], "left_semi").join(notices, list(KEY))
+    if pixel_rows is None:
+        # a bound: every pixel, brought to the grid level
+        steps = F.greatest(F.lit(grid) - sky.uniq_level(F.col("uniq")), F.lit(0))
+        pixel_rows = total(pixels, sky.power4(steps))
     levels = map_levels(pixels) if levels is None else levels
     levels = sorted({max(v, grid) for v in levels})
     side = inside.withColumn("density", sky.per_sr_to_per_deg2(F.col("probdensity"))).drop("hpix", "probdensity")

@@ -43,13 +43,19 @@ NOTICE_COLUMNS = (
 )
 
 
+# what a pair takes from its alert; the other alert columns join the survivors
+ALERT_COLUMNS = ("objectId", "candid", "ztf_ra", "ztf_dec", "jdstarthist", "jd", "jd_first_real_det")
+
+
 def prepare_alerts(alerts: DataFrame, s: MatchSettings) -> DataFrame:
-    """Filtered, pruned alerts with their position and the two values the join needs at top level."""
+    """Filtered, pruned alerts with their position."""
     kept = alert_quality_filter(alerts, s.ast_dist, s.ps_dist, s.ps_score, s.gaia_dist)
-    kept = alert_position(alert_prune(kept))
-    return kept.withColumns(
-        {c: F.col(f"candidate.{c}") for c in ("candid", "jdstarthist", "jd", "rb")}
-    )
+    return alert_position(alert_prune(kept))
+
+
+def narrow_alerts(prepared: DataFrame) -> DataFrame:
+    lifted = prepared.withColumns({c: F.col(f"candidate.{c}") for c in ("candid", "jdstarthist", "jd")})
+    return lifted.select(*ALERT_COLUMNS)
 
 
 def map_pairs(alerts: DataFrame, notices: DataFrame, pixels: DataFrame, s: MatchSettings) -> DataFrame:
@@ -72,15 +78,21 @@ def crossmatch_night(
     """
     s = settings
     prepared = prepare_alerts(alerts, s)
+    narrow = narrow_alerts(prepared)
     circles = circle_notices(notices, s.observatories).select(*NOTICE_COLUMNS)
-    pairs = crossmatch(prepared, circles, s.cover_factor, s.tiers).withColumn("density", F.lit(None).cast("double"))
+    pairs = crossmatch(narrow, circles, s.cover_factor, s.tiers).withColumn("density", F.lit(None).cast("double"))
     if pixels is not None:
-        pairs = pairs.unionByName(map_pairs(prepared, notices, pixels, s))
+        pairs = pairs.unionByName(map_pairs(narrow, notices, pixels, s))
     delay = F.col("jd_first_real_det") - F.col("triggerTimejd")
     value = p_assoc(delay, F.col("separation"), F.col("density"), s.year_conversion, s.observatories)
     matches = dedup_matches(keep_associated(pairs.withColumn("p_assoc", value)))
     if with_raw:
         matches = reattach_raw(matches, notices)
+    # wide alert columns (histories, features, maps) only now, by alert id
+    wide = prepared.drop("objectId", "ztf_ra", "ztf_dec", "jd_first_real_det").withColumn(
+        "candid", F.col("candidate.candid")
+    )
     if s.histories:
-        matches = history_concat(matches)
+        wide = history_concat(wide)
+    matches = matches.drop("jdstarthist", "jd").join(wide, "candid")
     return partition_cols(match_projection(classify(matches, s.class_rules)))

@@ -220,6 +220,21 @@ def map_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return computed_once(rows, "pixels")
 
 
+def notice_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Circle and map notices in one table."""
+    circles = notices(spark, sf_dir).withColumn("event_type", F.lit("alert")).drop("trigger_no")
+    none = F.lit(None).cast("double")
+    text = F.concat(F.lit('{"superevent_id": "'), "triggerId", F.lit('"}'))
+    maps = map_notices(spark, sf_dir).select(
+        "triggerId", "gcn_status", "observatory", F.lit("H1_L1").alias("instrument"), F.lit("gw").alias("event"),
+        F.lit("").alias("ivorn"), none.alias("ra"), none.alias("dec"), none.alias("err_arcmin"),
+        none.alias("region_arcmin"), F.col("ts").alias("ackTime"), "triggerTimejd", iso_utc(F.col("ts")).alias("triggerTimeUTC"),
+        text.alias("raw_event"), F.date_format("ts", "yyyy").alias("year"), F.date_format("ts", "MM").alias("month"),
+        F.date_format("ts", "dd").alias("day"), F.lit("alert").alias("event_type"),
+    )
+    return circles.unionByName(maps)
+
+
 def skymap_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = map_notices(spark, sf_dir)
     return m.select("triggerId", "gcn_status", F.posexplode_outer("pixels").alias("row_idx", "p")).select(

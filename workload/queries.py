@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
-from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +19,20 @@ from skyherald.operators import regions as rg
 from skyherald.operators import skymap as sm
 from skyherald.operators.validate import ALERT_RULES, NOTICE_RULES, validate
 from skyherald.plans.sizing import computed_once
-from skyherald.sources.tables import lookup_notice
+from skyherald.plans.crossmatch import crossmatch_night
+from skyherald.schemas import GRADES as GRADE_NAMES
+from skyherald.session import shared_dir
+from skyherald.sinks.tables import stream_partitioned, write_partitioned
+from skyherald.sources.tables import (
+    alerts_batch, alerts_stream, lookup_notice, matches_stream, notices_batch, notices_stream, raw_notices_files,
+)
+from skyherald.streaming.crossmatch import crossmatch_stream, dedup_stream
+from skyherald.streaming.run import ProgressLog, bounded_run
+from skyherald.streaming.status import notice_status_stream
+from skyherald.streaming.topics import stream_topics as topics_query
 from workload import derive as dv
 from workload import oracle as sq
-from workload.settings import CLASS_RULES, GRADES
+from workload.settings import CLASS_RULES, GRADES, MATCH
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -674,3 +684,298 @@ def assoc_gw(spark, sf):
     value = mt.p_assoc(F.lit(0.0), F.lit(0.0), F.col("density"))
     pairs = pairs.withColumn("region_arcmin", F.lit(None).cast("double")).withColumn("p_assoc", value)
     return pairs.select("candid", "triggerId", rnd("p_assoc", 9).alias("p_assoc"))
+
+
+# --- matches -> output ---------------------------------------------------------------------------------------------
+
+
+def _night(spark, sf, **kw) -> DataFrame:
+    return crossmatch_night(
+        dv.alert_packets(spark, sf), dv.notice_table(spark, sf), MATCH, dv.skymap_pixels(spark, sf), **kw
+    )
+
+
+# the pairs of good alerts with both kinds of notices, valued, one per object and notice
+_OBJECT = "'ZTF' || lpad((17 + event_id % 8)::varchar, 2, '0') || translate(lpad(user_id::varchar, 7, '0'), '0123456789', 'abcdefghij')"
+_GOOD = f"""(select *, x.oid, ((event_id * 37) % 101)::double / 100::double as rb, {_CLASS} as alert_class,
+  {_tenth(13, 5)} as mag_rate from {sq.ALERTS} a join
+  (select *, {_OBJECT} as oid from events where event_type <> 'error' and {_NEAR}) x on x.event_id = a.candid)"""
+_CIRCLE_MATCH = f"""(select candid, "triggerId", observatory, {_P_ASSOC} as p_assoc, err_arcmin from {sq.PAIRS}
+  where sep * 60 <= 1.5::double * err_arcmin)"""
+_GW_MATCH = _density_sql(
+    sq.with_point("(select * exclude (z, c, tt) from " + _GW_PAIRS + ")", "ztf_ra", "ztf_dec"), 'q.candid, q."triggerId"'
+)
+_MATCHES = f"""(select * exclude (rk) from (select *, row_number() over (partition by oid, "triggerId" order by g.jd, g.candid) as rk from
+  (select candid as cid, "triggerId", observatory, p_assoc, err_arcmin from {_CIRCLE_MATCH} where p_assoc <> -1
+   union all select candid, "triggerId", 'LVK', density, null from {_GW_MATCH}) m join {_GOOD} g on g.candid = m.cid) where rk = 1)"""
+_BRONZE = "(rb >= 0.7::double and alert_class in ('Early supernova', 'Kilonova candidate', 'Galaxy', 'Unknown'))"
+_IS_GRB = "observatory in ('Fermi', 'SWIFT', 'INTEGRAL')"
+_SILVER = f"({_BRONZE} and {_IS_GRB} and p_assoc >= 0.99::double)"
+_GOLD = f"({_SILVER} and mag_rate > 0.3::double and rb >= 0.9::double and err_arcmin <= 400)"
+
+
+@query(f"""select oid as "objectId", candid, "triggerId", observatory, round(p_assoc, 9) as p_assoc, round(ztf_ra, 6) as ztf_ra,
+  err_arcmin as gcn_loc_error, rb, alert_class, case when observatory = 'LVK' then '{{"superevent_id": "' || "triggerId" || '"}}'
+    else '<notice ' || "triggerId" || '/>' end as raw_event, strftime(ts, '%d') as day from {_MATCHES}""")
+def offline_join(spark, sf):
+    """The whole batch cross-match: filters, cells, association, de-duplication, classes, projection."""
+    return _night(spark, sf).select(
+        "objectId", "candid", "triggerId", "observatory", rnd("p_assoc", 9).alias("p_assoc"), rnd("ztf_ra").alias("ztf_ra"),
+        "gcn_loc_error", "rb", "alert_class", "raw_event", "day",
+    )
+
+
+@query(f"""select oid as "objectId", "triggerId", {_BRONZE} and {_IS_GRB} as is_grb_bronze, {_SILVER} as is_grb_silver,
+  coalesce({_GOLD}, false) as is_grb_gold, {_BRONZE} and observatory = 'LVK' as is_gw_bronze from {_MATCHES}""")
+def grade_flags(spark, sf):
+    flagged = gr.grade_flags(_night(spark, sf, with_raw=False), GRADES)
+    return flagged.select("objectId", "triggerId", *GRADE_NAMES)
+
+
+@query(f"""select topic, oid as "objectId", "triggerId" from (
+    select 'grb_bronze' as topic, * from {_MATCHES} where {_BRONZE} and {_IS_GRB} union all
+    select 'grb_silver', * from {_MATCHES} where {_SILVER} union all
+    select 'grb_gold', * from {_MATCHES} where {_GOLD} union all
+    select 'gw_bronze', * from {_MATCHES} where {_BRONZE} and observatory = 'LVK')""")
+def grade_split(spark, sf):
+    return gr.grade_split(_night(spark, sf, with_raw=False), GRADES).select("topic", "objectId", "triggerId")
+
+
+_PROJECTED = """event_id as candid, 1 + event_id % 2 as fid, ((event_id * 37) % 101)::double / 100::double as rb,
+  ((event_id * 19) % 30)::double / 100::double as sigmapsf"""
+
+
+@query(f"""select {_PROJECTED.replace('as fid', '::int as fid').replace('1 + event_id % 2', '(1 + event_id % 2)')}, round({sq.START}, 6) as jdstarthist,
+  round({_MAG}, 6) as magpsf, 'err' as err_name, false as has_candidate from events where event_type <> 'error'""")
+def match_projection(spark, sf):
+    wide = al.history_concat(al.alert_position(dv.alert_packets(spark, sf))).withColumn("err_arcmin", F.lit("err"))
+    p = gr.match_projection(wide)
+    return p.select(
+        "candid", "fid", rnd("rb").alias("rb"), rnd("sigmapsf").alias("sigmapsf"), rnd("jdstarthist").alias("jdstarthist"),
+        rnd("magpsf").alias("magpsf"), F.col("gcn_loc_error").alias("err_name"),
+        F.lit("candidate" in p.columns or "cmagpsf" in p.columns).alias("has_candidate"),
+    )
+
+
+def _records(spark, sf) -> DataFrame:
+    """Every alert as a record to distribute."""
+    wide = partition_cols(gr.match_projection(al.alert_position(dv.alert_packets(spark, sf)).withColumn("err_arcmin", F.lit(1.0))).drop("year", "month", "day"))
+    return wide.withColumns({"triggerTimeUTC": F.col("timestamp"), "ackTime": F.col("timestamp")})
+
+
+@query(f"""select event_id as candid, (1 + event_id % 2)::int as fid, (event_id % 6)::double as plx, (event_id % 9)::double as e_plx,
+  round({_tenth(17, 5)}, 6) as amplitude, round({_tenth(19, 7)}, 6) as mean,
+  'double' as plx_type, 'string' as utc_type, 'ackTime,day,month,t2,timestamp,year' as dropped from events where event_type <> 'error'""")
+def distribution_projection(spark, sf):
+    records = _records(spark, sf)
+    d = gr.distribution_projection(records)
+    types = dict(d.dtypes)
+    gone = ",".join(sorted(set(records.columns) - set(d.columns)))
+    return d.select(
+        "candid", "fid", F.col("Plx").alias("plx"), F.col("e_Plx").alias("e_plx"),
+        rnd("lc_features_g.amplitude").alias("amplitude"), rnd("lc_features_r.mean").alias("mean"),
+        F.lit(types["Plx"]).alias("plx_type"), F.lit(types["triggerTimeUTC"]).alias("utc_type"), F.lit(gone).alias("dropped"),
+    )
+
+
+@query(f"""select event_id as candid, json as body from (select event_id, '{{"candid":' || event_id || ',"fid":' || (1 + event_id % 2) || ',"cdsxmatch":"'
+  || {_XMATCH} || '"}}' as json from events where event_type <> 'error')""")
+def topic_payload(spark, sf):
+    rows = dv.alert_packets(spark, sf).select("candid", "candidate.fid", "cdsxmatch", F.lit("t").alias("topic"))
+    return gr.payload(rows, key="candid").select(F.col("key").alias("candid"), F.col("value").alias("body"))
+
+
+@query("""select event_id as candid, 'H' || event_id % 50 as hyperleda_name, null::varchar as twomass_name, (event_id % 90)::varchar as lum_dist,
+  null::varchar as ang_dist from events where event_type <> 'error'""")
+def map_to_struct(spark, sf):
+    m = gr.map_to_struct(dv.alert_packets(spark, sf))
+    return m.select(
+        "candid", F.col("mangrove.HyperLEDA_name").alias("hyperleda_name"), F.col("mangrove.TwoMASS_name").alias("twomass_name"),
+        F.col("mangrove.lum_dist").alias("lum_dist"), F.col("mangrove.ang_dist").alias("ang_dist"),
+    )
+
+
+@query(f"""select {_SID} as superevent_id, false as has_map, {_ALERT_TYPE} as alert_type, {_DETECTORS} as instruments
+  from events where {_JSON_OK}""")
+def drop_json_key(spark, sf):
+    raw = dv.raw_json(spark, sf).select(F.lit("LVK").alias("observatory"), F.col("value").alias("raw_event"))
+    cut = gr.drop_json_key(computed_once(raw, "raw_event")).select(F.col("raw_event").alias("value"), F.lit("json").alias("format"))
+    p = computed_once(nt.parse_json_notices(cut), "json").filter(F.col("json._corrupt").isNull())
+    return p.select(
+        "json.superevent_id", F.col("value").contains("skymap").alias("has_map"), "json.alert_type",
+        F.array_join("json.event.instruments", "_").alias("instruments"),
+    )
+
+
+# --- sources, sinks, streams: written to and read from a shared folder --------------------------------------------
+
+_NIGHT_SQL = f"select event_id as candid, '2024' as year, '01' as month, '15' as day from events where event_type <> 'error' and strftime(ts, '%Y%m%d') = '{dv.NIGHT}'"
+
+
+def _alert_files(spark, sf) -> tuple[DataFrame, str]:
+    packets = dv.alert_packets(spark, sf)
+    path = shared_dir(spark, "alerts")
+    write_partitioned(packets, path)
+    return packets, path
+
+
+@query(_NIGHT_SQL)
+def src_alerts_batch(spark, sf):
+    """Writes the alert archive, then reads one night of it through its partition filter."""
+    packets, path = _alert_files(spark, sf)
+    return alerts_batch(spark, path, dv.NIGHT, packets.schema).select("candid", "year", "month", "day")
+
+
+@query("select event_id as candid from events where event_type <> 'error'")
+def src_alerts_stream(spark, sf):
+    packets, path = _alert_files(spark, sf)
+    stream = alerts_stream(spark, path, packets.schema).select("candid", "year", "month", "day")
+    return _drain(spark, stream).select("candid")
+
+
+def _drain(spark, stream: DataFrame) -> DataFrame:
+    """Run a stream over what is there, into partitioned files, and read these back."""
+    out, log = shared_dir(spark, "stream-out"), shared_dir(spark, "stream-log")
+    bounded_run(stream_partitioned(stream, out, log, interval=None))
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+_NOTICE_FILES_SQL = f"""select trigger_no as triggerid, observatory, round(ra, 6) as ra, strftime(ts, '%Y') as year, strftime(ts, '%m') as month,
+  strftime(ts, '%d') as day from {sq.NOTICES}"""
+
+
+def _notice_files(spark, sf) -> tuple[DataFrame, str]:
+    rows = dv.notices(spark, sf)
+    path = shared_dir(spark, "notices")
+    write_partitioned(rows, path, "append")
+    return rows, path
+
+
+def _notice_view(df: DataFrame) -> DataFrame:
+    return df.select(F.col("trigger_no").alias("triggerid"), "observatory", rnd("ra").alias("ra"), "year", "month", "day")
+
+
+@query(_NOTICE_FILES_SQL)
+def src_notices_batch(spark, sf):
+    rows, path = _notice_files(spark, sf)
+    return _notice_view(notices_batch(spark, path, rows.schema))
+
+
+@query(_NOTICE_FILES_SQL)
+def src_notices_stream(spark, sf):
+    rows, path = _notice_files(spark, sf)
+    return _notice_view(_drain(spark, notices_stream(spark, path, rows.schema)))
+
+
+@query(_NIGHT_SQL)
+def src_matches_stream(spark, sf):
+    packets, path = _alert_files(spark, sf)
+    stream = matches_stream(spark, path, dv.NIGHT, packets.schema).select("candid", "year", "month", "day")
+    return _drain(spark, stream)
+
+
+def _raw_files(spark, sf) -> str:
+    path = shared_dir(spark, "raw")
+    dv.raw_notices(spark, sf).write.parquet(path)
+    return path
+
+
+@query(f"""select "triggerId", observatory, event_type, err_arcmin, "triggerTimeUTC" from {_NOTICE_ROWS}""")
+def sink_notices(spark, sf):
+    """Streamed ingestion: raw files -> parsed notices -> partitioned notice table."""
+    rows = nt.notice_row(nt.parse_notices(raw_notices_files(spark, _raw_files(spark, sf))))
+    return _drain(spark, rows).select(
+        "triggerId", "observatory", "event_type", rnd("err_arcmin", 4).alias("err_arcmin"), "triggerTimeUTC"
+    )
+
+
+@query(f"""select topic, count(*) as n from (select {_TOPIC} as topic from events where event_type = 'error'
+    union all select 'igwn.gwalert' from events where event_type = 'error') group by topic""")
+def src_raw_notices(spark, sf):
+    stream = raw_notices_files(spark, _raw_files(spark, sf))
+    day = {n: F.date_format("timestamp", p) for n, p in (("year", "yyyy"), ("month", "MM"), ("day", "dd"))}
+    return _drain(spark, stream.withColumns(day)).groupBy("topic").agg(F.count("*").alias("n"))
+
+
+@query(f"""select oid as "objectId", "triggerId", {_BRONZE} and {_IS_GRB} as is_grb_bronze, strftime(ts, '%d') as day
+  from {_MATCHES}""")
+def sink_matches_batch(spark, sf):
+    """Writes the graded matches twice: the second run replaces the days of the first."""
+    path = shared_dir(spark, "matches")
+    graded = gr.grade_flags(_night(spark, sf, with_raw=False), GRADES)
+    write_partitioned(graded, path)
+    write_partitioned(graded, path)
+    return spark.read.schema(graded.schema).parquet(path).select("objectId", "triggerId", "is_grb_bronze", "day")
+
+
+def _streamed_alerts(spark, sf) -> DataFrame:
+    rows = dv.alerts(spark, sf).withColumn("alert_ts", from_jd(F.col("jd")))
+    path = shared_dir(spark, "narrow-alerts")
+    rows.write.parquet(path)
+    return spark.readStream.schema(rows.schema).parquet(path)
+
+
+def _streamed_notices(spark, sf) -> DataFrame:
+    rows = mt.circle_notices(dv.notices(spark, sf)).select(
+        "trigger_no", "triggerId", "gcn_status", "observatory", "gcn_ra", "gcn_dec", "region_arcmin", "triggerTimejd",
+        F.col("ackTime").alias("trigger_ts"),
+    )
+    path = shared_dir(spark, "narrow-notices")
+    rows.write.parquet(path)
+    return spark.readStream.schema(rows.schema).parquet(path)
+
+
+@query(f"""select candid, trigger_no from {sq.PAIRS} where sep * 60 <= 1.5::double * err_arcmin and jd <= trigger_jd + 7""")
+def stream_crossmatch(spark, sf):
+    """Stream-stream join over what is there; pairs are within 7 days of the trigger."""
+    pairs = crossmatch_stream(_streamed_alerts(spark, sf), _streamed_notices(spark, sf), tiers=rg.REFERENCE_TIER, salts=2)
+    day = {n: F.date_format("alert_ts", p) for n, p in (("year", "yyyy"), ("month", "MM"), ("day", "dd"))}
+    return _drain(spark, pairs.select("candid", "trigger_no", "alert_ts").withColumns(day)).select("candid", "trigger_no")
+
+
+@query(f"""select distinct "objectId", "triggerId" from {sq.PAIRS} where sep * 60 <= 1.5::double * err_arcmin and jd <= trigger_jd + 7""")
+def sink_matches_stream(spark, sf):
+    """Stream-stream join, first arrival per object and notice, into day partitions."""
+    pairs = crossmatch_stream(_streamed_alerts(spark, sf), _streamed_notices(spark, sf), tiers=rg.REFERENCE_TIER, salts=2)
+    first = dedup_stream(pairs).select("objectId", "triggerId", F.col("alert_ts").alias("timestamp"))
+    return _drain(spark, partition_cols(first)).select("objectId", "triggerId")
+
+
+@query(SQL["notice_status"])
+def stream_notice_status(spark, sf):
+    """Update numbers from keyed state, over files that arrive in order of time."""
+    rows = dv.notice_versions(spark, sf).drop("raw_event")
+    path = shared_dir(spark, "versions")
+    rows.write.parquet(path)
+    stream = notice_status_stream(spark.readStream.schema(rows.schema).parquet(path), order=("event_id",))
+    return _drain(spark, stream).select("event_id", "triggerId", "gcn_status")
+
+
+@query(SQL["grade_split"])
+def stream_topics(spark, sf):
+    """Graded topics from a stream of matches, one folder per topic."""
+    matches = _night(spark, sf, with_raw=False)
+    path, out, log = (shared_dir(spark, n) for n in ("graded", "topics", "topics-log"))
+    write_partitioned(matches, path)
+    stream = spark.readStream.schema(matches.schema).parquet(path)
+    bounded_run(topics_query(stream, GRADES, log, path=out, interval=None))
+    sent = spark.read.parquet(out)
+    return sent.select("topic", F.get_json_object("value", "$.objectId").alias("objectId"), F.get_json_object("value", "$.triggerId").alias("triggerId"))
+
+
+@query()
+def progress_log(spark, sf):
+    """Metrics table of a streaming run (rows only: times differ from run to run)."""
+    packets, path = _alert_files(spark, sf)
+    table = shared_dir(spark, "progress")
+    listener = ProgressLog(spark, table)
+    spark.streams.addListener(listener)
+    try:
+        _drain(spark, alerts_stream(spark, path, packets.schema).select("candid", "year", "month", "day"))
+        deadline = time.monotonic() + 20
+        while not listener.seen and time.monotonic() < deadline:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+        listener.flush()
+    return spark.read.schema(ProgressLog.FIELDS).parquet(table).select("query", "batch", "input_rows", "state_rows")
