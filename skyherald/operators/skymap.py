@@ -261,19 +261,24 @@ def skymap_match(
             )
         ).alias("ipix"),
     )
+    above = (2 * (F.col("level") - grid)).cast("int")
     fine = fine.select(
         *KEY, "probdensity", (4 * sky.power4(F.col("level")) + F.col("ipix")).alias("uniq"),
-        sky.nest_to_ring(nside, F.lit(grid), F.call_function(
-            "shiftright", F.col("ipix"), (2 * (F.col("level") - grid)).cast("int"))).alias("hpix"),
+        F.call_function("shiftright", F.col("ipix"), above).alias("grid_ipix"),
     )
-    inside = fine.join(cells, [*KEY, "hpix"], "left_semi").join(notices, list(KEY))
+    # NESTED numbers of the grid's RING cells: a fixed table of 12 NSIDE^2 rows
+    names = alerts.sparkSession.range(12 * nside * nside).select(
+        F.col("id").alias("grid_ipix"), sky.nest_to_ring(nside, F.lit(grid), F.col("id")).alias("hpix")
+    )
+    nested = cells.join(F.broadcast(names), "hpix").drop("hpix")
+    inside = fine.join(nested, [*KEY, "grid_ipix"], "left_semi").join(notices, list(KEY))
     if pixel_rows is None:
         # a bound: every pixel, brought to the grid level
         steps = F.greatest(F.lit(grid) - sky.uniq_level(F.col("uniq")), F.lit(0))
         pixel_rows = total(pixels, sky.power4(steps))
     levels = map_levels(pixels) if levels is None else levels
     levels = sorted({max(v, grid) for v in levels})
-    side = inside.withColumn("density", sky.per_sr_to_per_deg2(F.col("probdensity"))).drop("hpix", "probdensity")
+    side = inside.withColumn("density", sky.per_sr_to_per_deg2(F.col("probdensity"))).drop("grid_ipix", "probdensity")
     ancestors = alerts.withColumn("uniq", F.explode_outer(_ancestors(F.col("ztf_ra"), F.col("ztf_dec"), levels)))
     after = F.col("jdstarthist") > F.col("triggerTimejd")
     return skew_join(

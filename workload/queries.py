@@ -973,9 +973,8 @@ def progress_log(spark, sf):
     try:
         _drain(spark, alerts_stream(spark, path, packets.schema).select("candid", "year", "month", "day"))
         deadline = time.monotonic() + 20
-        while not listener.seen and time.monotonic() < deadline:
+        while not listener.written and time.monotonic() < deadline:
             time.sleep(0.2)
     finally:
         spark.streams.removeListener(listener)
-        listener.flush()
     return spark.read.schema(ProgressLog.FIELDS).parquet(table).select("query", "batch", "input_rows", "state_rows")
