@@ -31,9 +31,20 @@ def let(body, **values: Column) -> Column:
     return F.element_at(F.transform(bound, body), 1)
 
 
+def known(value: Column, missing: float | int) -> Column:
+    """A value that is never null.
+
+    A join on a computed key adds "is not null" filters, rewritten onto the inputs of the computation with every
+    intermediate value repeated. A key that cannot be null spares them; `missing` is a value that joins nothing.
+    """
+    return F.coalesce(value, F.lit(missing))
+
+
 def unit_vector(ra: Column, dec: Column) -> tuple[Column, Column, Column]:
+    """Direction of a position; NaN, which is near nothing, for a missing one."""
     phi, theta = F.radians(ra), F.radians(dec)
-    return F.cos(theta) * F.cos(phi), F.cos(theta) * F.sin(phi), F.sin(theta)
+    parts = F.cos(theta) * F.cos(phi), F.cos(theta) * F.sin(phi), F.sin(theta)
+    return tuple(known(p, float("nan")) for p in parts)
 
 
 def chord2(u: tuple, v: tuple) -> Column:

@@ -117,25 +117,33 @@ def topic_table(spark: SparkSession, observatories=OBSERVATORIES) -> DataFrame:
     return spark.createDataFrame(rows, "topic string, format string")
 
 
-def per_observatory(observatory: Column, value, observatories=OBSERVATORIES, default=None) -> Column:
-    """`value(o)` of the observatory a row belongs to; `value` gives a Column, a literal or None (= `default`)."""
+def per_observatory(observatory: Column, value, observatories=OBSERVATORIES, default=None, by: str = "name") -> Column:
+    """`value(o)` of the observatory a row belongs to; `value` gives a Column, a literal or None (= `default`).
+
+    Rows carry the observatory's name; `by="key"` compares with its lower-case form instead.
+    """
     cases = [(o, value(o)) for o in observatories]
     cases = [(o, v) for o, v in cases if v is not None]
-    none = F.lit(default)
     if not cases:
-        return none
-    head, *tail = cases
+        return F.lit(default)
 
     def lit(v):
         return v if isinstance(v, Column) else F.lit(v)
 
-    chain = F.when(F.lower(observatory) == head[0].key, lit(head[1]))
-    chain = reduce(lambda c, ov: c.when(F.lower(observatory) == ov[0].key, lit(ov[1])), tail, chain)
-    return chain.otherwise(none)
+    (o, v), *tail = cases
+    first = F.when(observatory == getattr(o, by), lit(v))
+    chain = reduce(lambda c, ov: c.when(observatory == getattr(ov[0], by), lit(ov[1])), tail, first)
+    return chain.otherwise(F.lit(default))
+
+
+def of_assoc(observatory: Column, kind: str, observatories=OBSERVATORIES) -> Column:
+    """Whether a row's observatory is associated in the given way ("grb", "neutrino" or "gw")."""
+    return observatory.isin(*[o.name for o in observatories if o.assoc == kind])
 
 
 def rate_of(observatory: Column, observatories=OBSERVATORIES) -> Column:
-    return per_observatory(observatory, lambda o: o.rate, observatories)
+    """Detections per year, null where none is known."""
+    return per_observatory(observatory, lambda o: o.rate if o.rate > 0 else None, observatories)
 
 
 def is_listened(observatory: Column, packet_type: Column, observatories=OBSERVATORIES) -> Column:

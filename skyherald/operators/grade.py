@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyherald.observatories import OBSERVATORIES, per_observatory
+from skyherald.observatories import OBSERVATORIES, of_assoc
 
 FIVE_SIGMA = math.erf(5 / math.sqrt(2))
 
@@ -46,7 +46,7 @@ def grades(rules: GradeRules, observatories=OBSERVATORIES) -> dict[str, Column]:
     """The four grade conditions, null-safe: a missing input gives no grade."""
 
     def of_kind(kind: str) -> Column:
-        return per_observatory(F.col("observatory"), lambda o: o.assoc == kind, observatories, default=False)
+        return of_assoc(F.col("observatory"), kind, observatories)
 
     bronze = (F.col("rb") >= rules.bronze_rb) & F.col(rules.class_column).isin(*rules.extragalactic)
     silver = bronze & of_kind("grb") & (F.col("p_assoc") >= rules.silver_p)

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyherald.functions import probability, sky
-from skyherald.observatories import OBSERVATORIES, per_observatory, rate_of
+from skyherald.observatories import OBSERVATORIES, of_assoc, per_observatory, rate_of
 from skyherald.operators.regions import TIERS, Tier, used_tiers, with_alert_keys, with_notice_keys
-from skyherald.plans.sizing import BROADCAST_ROWS, skew_join, total
+from skyherald.plans.sizing import BROADCAST_ROWS, computed_once, skew_join, total
 
 # an association accepts separations up to this multiple of the error radius
 CONE_FACTOR = 1.5
@@ -63,9 +63,11 @@ def crossmatch(
     pairs = skew_join(
         left, right, ["cell"], ["candid"], small_rows=cells, condition=cond, broadcast_rows=broadcast_rows
     )
-    return pairs.withColumn("separation", sky.separation_of(_pair_chord2())).drop(
+    pairs = pairs.withColumn("separation", sky.separation_of(_pair_chord2())).drop(
         "cell", "__reach", *_ALERT_VECTOR, *_NOTICE_VECTOR
     )
+    # a later filter on the association must not become part of the join condition, tested for every candidate
+    return computed_once(pairs, "separation")
 
 
 def _pair_chord2() -> Column:
@@ -88,8 +90,10 @@ def p_assoc(
     inside = separation * 60.0 <= F.col("region_arcmin") * CONE_FACTOR
     rate = rate_of(F.col("observatory"), observatories)
     grb = probability.assoc_grb(delay_days, inside, rate, F.col("region_arcmin"), year_conversion)
-    kinds = {"grb": grb, "neutrino": probability.assoc_neutrino(delay_days, inside), "gw": density}
-    return per_observatory(F.col("observatory"), lambda o: kinds[o.assoc], observatories)
+    value = F.when(of_assoc(F.col("observatory"), "grb", observatories), grb).when(
+        of_assoc(F.col("observatory"), "neutrino", observatories), probability.assoc_neutrino(delay_days, inside)
+    )
+    return value if density is None else value.otherwise(density)
 
 
 def keep_associated(pairs: DataFrame) -> DataFrame:

@@ -70,7 +70,7 @@ def detect_observatory(parsed: DataFrame, observatories=OBSERVATORIES) -> DataFr
     base = F.lower(F.element_at(F.split(F.split_part(F.col("xml._ivorn"), F.lit("#"), F.lit(1)), "/"), -1))
     detector = F.when(base == "amon", F.lower(F.split_part(_fragment(), F.lit("_"), F.lit(1)))).otherwise(base)
     found = F.when(F.col("format") == "xml", detector).when(F.col("json.superevent_id").isNotNull(), "lvk")
-    return parsed.withColumn("observatory", per_observatory(found, lambda o: o.name, observatories))
+    return parsed.withColumn("observatory", per_observatory(found, lambda o: o.name, observatories, by="key"))
 
 
 def is_observation(test: bool = False) -> Column:

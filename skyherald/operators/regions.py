@@ -70,7 +70,7 @@ def with_alert_keys(alerts: DataFrame, tiers: tuple[Tier, ...] = TIERS) -> DataF
     """One row per (alert, grid); a single grid needs no explode."""
     grids = [n for n, _ in tiers]
     keyed = sky.with_ring_cells(alerts, "ztf_ra", "ztf_dec", grids, "__cell")
-    keys = [F.col(f"__cell{n}") + 4 * n * n for n in grids]
+    keys = [sky.known(F.col(f"__cell{n}") + 4 * n * n, -1) for n in grids]
     cell = keys[0] if len(keys) == 1 else F.explode_outer(F.array(*keys))
     return keyed.withColumn("cell", cell).drop(*[f"__cell{n}" for n in grids])
 
