@@ -16,6 +16,7 @@ from skyherald.operators.match import (
     CONE_FACTOR, circle_notices, crossmatch, dedup_matches, keep_associated, p_assoc, reattach_raw,
 )
 from skyherald.operators.regions import TIERS, Tier
+from skyherald.plans.sizing import skew_join, total
 
 
 @dataclass(frozen=True)
@@ -36,7 +37,7 @@ class MatchSettings:
     observatories: tuple[Observatory, ...] = field(default=OBSERVATORIES)
 
 
-# what a pair takes from its notice; the raw text is brought back at the end, for the survivors
+# what a match takes from its notice, besides the raw text
 NOTICE_COLUMNS = (
     "observatory", "instrument", "event", "triggerId", "gcn_status", "gcn_ra", "gcn_dec", "err_arcmin",
     "region_arcmin", "ackTime", "triggerTimejd", "triggerTimeUTC",
@@ -85,14 +86,16 @@ def crossmatch_night(
         pairs = pairs.unionByName(map_pairs(narrow, notices, pixels, s))
     delay = F.col("jd_first_real_det") - F.col("triggerTimejd")
     value = p_assoc(delay, F.col("separation"), F.col("density"), s.year_conversion, s.observatories)
-    matches = dedup_matches(keep_associated(pairs.withColumn("p_assoc", value)))
-    if with_raw:
-        matches = reattach_raw(matches, notices)
-    # wide alert columns (histories, features, maps) only now, by alert id
-    wide = prepared.drop("objectId", "ztf_ra", "ztf_dec", "jd_first_real_det").withColumn(
-        "candid", F.col("candidate.candid")
-    )
+    valued = keep_associated(pairs.withColumn("p_assoc", value))
+    # six columns go through the de-duplication; all others join its survivors by key
+    matches = dedup_matches(valued.select("objectId", "candid", "jd", "triggerId", "gcn_status", "p_assoc")).drop("jd")
+    wide = prepared.drop("objectId").withColumn("candid", F.col("candidate.candid"))
     if s.histories:
         wide = history_concat(wide)
-    matches = matches.drop("jdstarthist", "jd").join(wide, "candid")
+    matches = matches.join(wide, "candid")
+    details = notices.withColumnsRenamed({"ra": "gcn_ra", "dec": "gcn_dec"}).select(*NOTICE_COLUMNS)
+    key = ["triggerId", "gcn_status"]
+    matches = skew_join(matches, details, key, ["candid"], small_rows=total(details, F.lit(1)))
+    if with_raw:
+        matches = reattach_raw(matches, notices)
     return partition_cols(match_projection(classify(matches, s.class_rules)))
