@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyherald.llm import quality as ql
+from skyherald.llm import repeats as rp
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp.remove_repeats(table(spark, sf_dir, "documents"), min_words=35, with_text=False, carry=["doc_id"])
+
+
 @query()
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ql.quality(table(spark, sf_dir, "documents"), carry=["doc_id"])
