@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from skyherald.llm import quality as ql
 from skyherald.llm import repeats as rp
+from skyherald.llm import simhash as sh
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -33,6 +34,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp.remove_repeats(table(spark, sf_dir, "documents"), min_words=35, with_text=False, carry=["doc_id"])
 
 
+@query()
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sh.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3, carry=["doc_id"])
+
+
 @query()
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ql.quality(table(spark, sf_dir, "documents"), carry=["doc_id"])
