@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skyherald.llm import quality as ql
 from skyherald.llm import repeats as rp
 from skyherald.llm import simhash as sh
+from skyherald.llm import warc as wc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -39,6 +40,24 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sh.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3, carry=["doc_id"])
 
 
+@query("""
+    with p as (
+      select page_id, sha1(coalesce(html, '')) d, octet_length(encode(coalesce(html, ''))) n from pages
+    ), g as (select *, max(page_id) over (partition by d, n) m from p)
+    select page_id, n payload_bytes, d payload_digest,
+      case when n >= 1000 and page_id <> m then 'revisit' else 'response' end record_type,
+      case when n >= 1000 and page_id <> m then m end refers_to
+    from g""")
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    read = wc.archived(pages, with_payload=False)
+    id_type = pages.schema["page_id"].dataType
+    return read.select(
+        F.col("record_id").cast(id_type).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast(id_type).alias("refers_to"),
+    )
+
+
 @query()
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ql.quality(table(spark, sf_dir, "documents"), carry=["doc_id"])
