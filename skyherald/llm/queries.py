@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyherald.llm import decontaminate as dc
 from skyherald.llm import quality as ql
 from skyherald.llm import repeats as rp
 from skyherald.llm import simhash as sh
@@ -61,3 +62,14 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ql.quality(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
+@query()
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dc.find_contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=["doc_id"]
+    )
+    return found.select(
+        "doc_id", "contaminated", F.transform("matches", lambda m: m["item_id"]).alias("item_ids"),
+        F.transform("matches", lambda m: m["distance"]).alias("distances"),
+    )
