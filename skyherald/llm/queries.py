@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyherald.llm import decontaminate as dc
+from skyherald.llm import licenses as lc
+from skyherald.llm import packing as pk
 from skyherald.llm import quality as ql
 from skyherald.llm import repeats as rp
 from skyherald.llm import simhash as sh
@@ -36,11 +38,56 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp.remove_repeats(table(spark, sf_dir, "documents"), min_words=35, with_text=False, carry=["doc_id"])
 
 
+@query()
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pk.packed(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
 @query()
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sh.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3, carry=["doc_id"])
 
 
+def _license_sql() -> str:
+    """The same comparison in SQL, without the size bounds."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    values = ", ".join(f"({i}, {quoted(n)}, {quoted(t)})" for i, (n, t) in enumerate(lc.TEMPLATES))
+    clean = "trim(regexp_replace(regexp_replace(lower({}), '[^a-z0-9\\n]+', ' ', 'g'), '[ \\n]+', ' ', 'g'))"
+    pairs = (
+        "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+    )
+    return f"""
+    with t as (select i, name, string_split({clean.format('txt')}, ' ') w from (values {values}) v(i, name, txt)),
+    tb as (select i, name, {pairs} b from t),
+    n as (select doc_id, regexp_replace(lower(coalesce(text, '')), '[^a-z0-9\n]+', ' ', 'g') t from documents),
+    u as (
+      select doc_id, unnest(string_split(t, chr(10))) u from n
+      union all
+      select doc_id, u from (select doc_id, unnest(regexp_split_to_array(t, '\n *\n')) u from n)
+      where contains(trim(u), chr(10))
+    ),
+    w as (select doc_id, string_split(trim(regexp_replace(u, '[ \n]+', ' ', 'g')), ' ') w from u),
+    ub as (select doc_id, {pairs} b from w where len(w) between 2 and 400),
+    m as (
+      select doc_id, name, 2.0::double * len(list_intersect(ub.b, tb.b)) / (len(ub.b) + len(tb.b)) dice
+      from ub join tb on list_has_any(ub.b, tb.b)
+    ),
+    best as (select doc_id, name, max(dice) dice from m where dice >= {lc.LEAST} group by all)
+    select d.doc_id, coalesce(string_agg(name, ',' order by name), '') licenses, count(name) n_licenses,
+      coalesce(round(max(dice), 6), 0.0) best_dice
+    from documents d left join best b on d.doc_id = b.doc_id group by d.doc_id"""
+
+
+@query(_license_sql())
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lc.license_scan(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    best = F.coalesce(F.round(F.array_max(F.transform("licenses", lambda m: m["dice"])), 6), F.lit(0.0))
+    return found.select(
+        "doc_id", F.array_join(F.transform("licenses", lambda m: m["name"]), ",").alias("licenses"),
+        F.size("licenses").cast("long").alias("n_licenses"), best.alias("best_dice"),
+    )
+
+
 @query("""
     with p as (
       select page_id, sha1(coalesce(html, '')) d, octet_length(encode(coalesce(html, ''))) n from pages
