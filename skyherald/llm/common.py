@@ -46,3 +46,49 @@ def released(df: DataFrame, columns: Sequence[str], results: dict[str, Column])
     lower = {name.lower() for name in results}
     kept = [F.col("row").getField(c).alias(c) for c in columns if c.lower() not in lower]
     return df.select(*kept, *[value.alias(name) for name, value in results.items()])
+
+
+def running_total(sizes: Column, block: int = 256) -> Column:
+    """For each element of an array the sum of the elements before it, inside one expression.
+
+    Sums of blocks first, so that long arrays don't take quadratic time.
+    """
+    add = lambda a, x: a + x
+    zero = F.lit(0).cast("long")
+
+    def by_blocks(totals: Column) -> Column:
+        before = F.transform(totals, lambda _, b: F.aggregate(F.slice(totals, F.lit(1), b), zero, add))
+        return let(before, lambda starts: F.transform(sizes, lambda _, i: F.get(starts, (i / block).cast("int")) + F.aggregate(
+            F.slice(sizes, (i / block).cast("int") * block + 1, i % block), zero, add
+        )))
+
+    blocks = F.transform(
+        F.sequence(F.lit(0), ((F.size(sizes) - 1) / block).cast("int")),
+        lambda b: F.aggregate(F.slice(sizes, b * block + 1, F.lit(block)), zero, add),
+    )
+    return F.when(F.size(sizes) == 0, F.array().cast("array<bigint>")).otherwise(let(blocks, by_blocks))
+
+
+def regex_spans(text: Column, pattern: str, group: int = 0) -> Column:
+    """Leftmost non-overlapping matches as array<struct<start, end, found>>: code points, end exclusive.
+
+    The text between matches gives the places; it is only cut up where there is a match. `found` is the group's text.
+    """
+    kind = "array<struct<start: bigint, end: bigint, found: string>>"
+
+    def placed(whole: Column) -> Column:
+        gaps = F.transform(F.split(text, pattern, -1), lambda p: F.length(p).cast("long"))
+        sizes = lambda g: F.transform(whole, lambda m, i: F.get(g, i) + F.length(m))
+        named = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
+
+        def built(g: Column) -> Column:
+            return let(sizes(g), lambda s: let(running_total(s), lambda before: let(named, lambda found: F.transform(
+                whole, lambda m, i: F.struct(
+                    (F.get(before, i) + F.get(g, i)).alias("start"),
+                    (F.get(before, i) + F.get(g, i) + F.length(m)).alias("end"), F.get(found, i).alias("found"),
+                )
+            ))))
+
+        return F.when(F.size(whole) == 0, F.array().cast(kind)).otherwise(let(gaps, built))
+
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)

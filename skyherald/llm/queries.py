@@ -12,6 +12,7 @@ from skyherald.llm import licenses as lc
 from skyherald.llm import packing as pk
 from skyherald.llm import quality as ql
 from skyherald.llm import repeats as rp
+from skyherald.llm import secrets as sc
 from skyherald.llm import simhash as sh
 from skyherald.llm import warc as wc
 
@@ -67,7 +68,7 @@ def _license_sql() -> str:
       where contains(trim(u), chr(10))
     ),
     w as (select doc_id, string_split(trim(regexp_replace(u, '[ \n]+', ' ', 'g')), ' ') w from u),
-    ub as (select doc_id, {pairs} b from w where len(w) between 2 and 400),
+    ub as (select doc_id, {pairs} b from w where len(w) >= 2),
     m as (
       select doc_id, name, 2.0::double * len(list_intersect(ub.b, tb.b)) / (len(ub.b) + len(tb.b)) dice
       from ub join tb on list_has_any(ub.b, tb.b)
@@ -111,6 +112,17 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ql.quality(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
 
+@query()
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sc.secret_scan(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    base = F.filter("secrets", lambda s: s["base"])
+    number = lambda kind: F.size(F.filter("secrets", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+    return found.select(
+        "doc_id", *[number(k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(sc.digest_text(base), 256).alias("base_sha256"), sc.digest_text(F.col("secrets")).alias("spans"),
+    )
+
+
 @query()
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dc.find_contamination(
