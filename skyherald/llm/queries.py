@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skyherald.llm import decontaminate as dc
 from skyherald.llm import licenses as lc
 from skyherald.llm import packing as pk
+from skyherald.llm import pii as pi
 from skyherald.llm import quality as ql
 from skyherald.llm import repeats as rp
 from skyherald.llm import secrets as sc
@@ -112,6 +113,16 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ql.quality(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
 
+@query()
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pi.find_pii(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    number = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[number(k).alias(f"n_{k}") for k in pi.BASE],
+        F.sha2(sc.digest_text(F.col("base")), 256).alias("base_sha256"), sc.digest_text(F.col("spans")).alias("spans"),
+    )
+
+
 @query()
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sc.secret_scan(table(spark, sf_dir, "documents"), carry=["doc_id"])
