@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyherald.llm import decontaminate as dc
+from skyherald.llm import language as lg
 from skyherald.llm import licenses as lc
 from skyherald.llm import packing as pk
 from skyherald.llm import pii as pi
@@ -134,6 +135,15 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = lg.held_out(F.col("doc_id"))
+    model = lg.learn(docs.filter(~out))
+    found = lg.identify(docs, model, carry=["doc_id"])
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", F.size("lang_spans").alias("n_spans"))
+
+
 @query()
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dc.find_contamination(
