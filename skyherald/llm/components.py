@@ -9,8 +9,10 @@ from skyherald.llm.common import stored
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
-    """Edges (u, v) with m, the least v of each u; a pre-aggregated minimum joined back, so that no u is gathered."""
-    return edges.join(edges.groupBy("u").agg(F.min("v").alias("m")), "u")
+    """Edges (u, v) with m, the least v of each u; a written minimum joined back, so that a u with many
+    edges can be split by adaptive execution."""
+    least = stored(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
+    return edges.join(least, "u")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -6,9 +6,9 @@ embeddings is a lower bound of the fingerprints' distance. The embedding is cut
 that some block of a linked pair is at most 1 apart; a block's values are a cell of a grid, and a range join pairs each
 cell with itself and the neighbours 1 away. Candidates meet the lower bound over all segments, then the exact distance.
 
-Only distinct fingerprints are joined, so copies are never paired. Before the pairwise join, a round of stars links
-fingerprints that agree outside one segment group; the join then only keeps pairs across the components so far, which
-leaves the components as they would be with all links, without all pairs of a dense group.
+Only distinct fingerprints are joined, so copies are never paired. Before the pairwise join, stars link each fingerprint
+to the hubs of its cells (those with most copies) where they are near; the join then only keeps pairs across the components
+so far, which leaves the components as they would be with all links, without all pairs of a dense group.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from skyherald.llm.common import carried, released, stored
 from skyherald.llm.components import components
-from skyherald.llm.tokens import text_slices
+from skyherald.llm.tokens import mixed, text_slices
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -40,12 +40,15 @@ def _joined(words) -> tuple[bytes, np.ndarray, np.ndarray]:
     return out.tobytes(), start, start + length
 
 
-def fingerprints_of(words, shingle: int) -> np.ndarray:
-    """64-bit fingerprint of each row of a slice."""
+def fingerprints_of(words, shingle: int, longs: int = 1) -> np.ndarray:
+    """Fingerprint of each row of a slice: `longs` values of 64 bits.
+
+    The first has the bits of the shingles' XXH64 values, a second those of the values mixed once more.
+    """
     n = np.diff(words.first)
     count = np.where(n >= shingle, n - shingle + 1, np.minimum(n, 1))
     if not count.sum():
-        return np.zeros(len(n), dtype=np.uint64)
+        return np.zeros((len(n), longs), dtype=np.uint64)
     text, start, end = _joined(words)
     first = np.repeat(words.first[:-1] - (np.cumsum(count) - count), count) + np.arange(count.sum())
     last = first + np.repeat(np.minimum(n, shingle), count) - 1
@@ -53,32 +56,36 @@ def fingerprints_of(words, shingle: int) -> np.ndarray:
     h = np.fromiter(
         (digest(view[a:b], 42) for a, b in zip(start[first].tolist(), end[last].tolist())), np.uint64, len(first)
     )
-    out = np.zeros(len(n), dtype=np.uint64)
+    out = np.zeros((len(n), longs), dtype=np.uint64)
     filled = np.flatnonzero(count)
-    ones = np.zeros((len(filled), 64), dtype=np.int64)
-    block = 1 << 16
     # blocks of shingles, so that the bit matrix stays small for a long text
-    owner = np.repeat(np.arange(len(filled)), count[filled])
-    for lo in range(0, len(h), block):
-        part = np.unpackbits(h[lo : lo + block].view(np.uint8), bitorder="little").reshape(-1, 64)
-        rows = owner[lo : lo + block]
-        heads = np.flatnonzero(np.diff(rows, prepend=-1))
-        ones[rows[heads]] += np.add.reduceat(part, heads, axis=0, dtype=np.int64)
-    most = 2 * ones > count[filled][:, None]
-    out[filled] = np.packbits(most, axis=1, bitorder="little").view(np.uint64)[:, 0]
+    owner, block = np.repeat(np.arange(len(filled)), count[filled]), 1 << 16
+    for k in range(longs):
+        ones = np.zeros((len(filled), 64), dtype=np.int64)
+        for lo in range(0, len(h), block):
+            part = np.unpackbits(h[lo : lo + block].view(np.uint8), bitorder="little").reshape(-1, 64)
+            rows = owner[lo : lo + block]
+            heads = np.flatnonzero(np.diff(rows, prepend=-1))
+            ones[rows[heads]] += np.add.reduceat(part, heads, axis=0, dtype=np.int64)
+        most = 2 * ones > count[filled][:, None]
+        out[filled, k] = np.packbits(most, axis=1, bitorder="little").view(np.uint64)[:, 0]
+        h = mixed(h)
     return out
 
 
-def fingerprinted(rows: DataFrame, shingle: int) -> DataFrame:
-    """Carried rows (row, text) with the fingerprint as a long; a null or blank text has fingerprint zero."""
+def fingerprinted(rows: DataFrame, shingle: int, longs: int = 1) -> DataFrame:
+    """Carried rows (row, text) with the fingerprint as longs fp0..; a null or blank text has fingerprint zero."""
+    names = [f"fp{k}" for k in range(longs)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [fingerprints_of(w, shingle) for _, _, w in text_slices(batch.column("text"))]
-            fp = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(fp.view(np.int64))], names=["row", "fp"])
+            parts = [fingerprints_of(w, shingle, longs) for _, _, w in text_slices(batch.column("text"))]
+            fp = np.concatenate(parts) if parts else np.zeros((0, longs), np.uint64)
+            values = [pa.array(np.ascontiguousarray(fp[:, k]).view(np.int64)) for k in range(longs)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *values], names=["row", *names])
 
-    return rows.select("row", "text").mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, fp long")
+    kind = f"row {rows.schema['row'].dataType.simpleString()}, " + ", ".join(f"{n} long" for n in names)
+    return rows.select("row", "text").mapInArrow(run, kind)
 
 
 def embedding(fp: Column) -> Column:
@@ -89,18 +96,14 @@ def embedding(fp: Column) -> Column:
     return some.bitwiseOR(F.shiftleft(both, 1))
 
 
-def _blocks(distance: int) -> list[tuple[int, int]]:
-    """(first bit, bits) of the blocks: so many that one of a linked pair's is at most 1 apart."""
-    count = min(32, distance // 2 + 1)
-    cuts = [2 * (32 * i // count) for i in range(count + 1)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
-
+def _blocks(distance: int, longs: int) -> list[tuple[int, int, int]]:
+    """(long, first bit, bits) of the blocks: so many that one of a linked pair's is at most 1 apart, two per long at least."""
+    each = max(2, -(-(distance // 2 + 1) // longs))
+    cuts = [2 * (32 * i // min(each, 32)) for i in range(min(each, 32) + 1)]
+    return [(k, a, b - a) for k in range(longs) for a, b in zip(cuts, cuts[1:], strict=False)]
 
-def _mask(bit: int, bits: int) -> Column:
-    return F.lit(((1 << bits) - 1) << bit if bit + bits < 64 else -(1 << bit)).cast("long")
 
-
-def _neighbours(own: Column, bit: int, bits: int) -> Column:
+def _neighbours(own: Column, bits: int) -> Column:
     """The cells 1 away: 0 <-> 1 flips a segment's low bit, allowed while its high bit is 0; 1 <-> 2 flips the high
     bit, allowed while the low bit is 1."""
 
@@ -110,63 +113,74 @@ def _neighbours(own: Column, bit: int, bits: int) -> Column:
         flipped = own.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), b))
         return F.when(partner == b % 2, flipped)
 
-    return F.filter(F.transform(F.sequence(F.lit(bit), F.lit(bit + bits - 1)), moved), lambda x: x.isNotNull())
+    return F.filter(F.transform(F.sequence(F.lit(0), F.lit(bits - 1)), moved), lambda x: x.isNotNull())
 
 
-def _cells(fps: DataFrame, distance: int, around: bool) -> DataFrame:
-    """One row per fingerprint, block and cell: the own cell, with `around` also the cells 1 away."""
+def _cells(fps: DataFrame, distance: int, names: Sequence[str], around: bool) -> DataFrame:
+    """One row per fingerprint, block and cell: the own cell, with `around` also the cells 1 away. A cell's number has
+    its block's in the upper bits."""
     cells = []
-    for k, (bit, bits) in enumerate(_blocks(distance)):
-        own = F.col("e").bitwiseAND(_mask(bit, bits))
-        near = F.array(own)
-        if around:
-            near = F.concat(near, _neighbours(own, bit, bits))
-        cells.append(F.struct(F.lit(k).alias("block"), near.alias("near")))
-    out = fps.select("fp", "e", *(["root"] if "root" in fps.columns else []), F.explode(F.array(*cells)).alias("c"))
-    return out.select(*out.columns[:-1], "c.block", F.explode("c.near").alias("cell"))
+    for block, (k, bit, bits) in enumerate(_blocks(distance, len(names))):
+        e = embedding(F.col(names[k]))
+        own = F.shiftrightunsigned(e, bit).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
+        near = F.concat(F.array(own), _neighbours(own, bits)) if around else F.array(own)
+        cells.append(_numbered(near, block))
+    return fps.select("*", F.explode(F.flatten(F.array(*cells))).alias("cell"))
+
+
+def _numbered(cells: Column, block: int) -> Column:
+    return F.transform(cells, lambda c: c + F.lit(block << 40).cast("long"))
 
 
-def _pairs(fps: DataFrame, distance: int) -> DataFrame:
+def _apart(a: str, b: str, names: Sequence[str], embedded: bool = False) -> Column:
+    """Bits in which two fingerprints differ, or the Manhattan distance of their embeddings."""
+    view = embedding if embedded else (lambda c: c)
+    return sum((F.bit_count(view(F.col(a + n)).bitwiseXOR(view(F.col(b + n)))) for n in names), F.lit(0))
+
+
+def _node(names: Sequence[str], prefix: str = "") -> Column:
+    """A long that names a fingerprint: itself, or a hash of its longs."""
+    return F.col(prefix + names[0]) if len(names) == 1 else F.xxhash64(*[prefix + n for n in names])
+
+
+def _pairs(rooted: DataFrame, distance: int, names: Sequence[str]) -> DataFrame:
     """Links between fingerprints of different components so far: (u, v)."""
-    a = _cells(fps, distance, around=True).select("block", "cell", *[F.col(c).alias(f"a_{c}") for c in ("fp", "e", "root")])
-    b = _cells(fps, distance, around=False).select("block", "cell", *[F.col(c).alias(f"b_{c}") for c in ("fp", "e", "root")])
-    bound = F.bit_count(F.col("a_e").bitwiseXOR(F.col("b_e"))) <= distance
-    exact = F.bit_count(F.col("a_fp").bitwiseXOR(F.col("b_fp"))) <= distance
-    on = (a["block"] == b["block"]) & (a["cell"] == b["cell"])
-    across = F.col("a_root") < F.col("b_root")
-    return a.join(b, on & across & bound & exact).select(F.col("a_fp").alias("u"), F.col("b_fp").alias("v"))
-
-
-def _stars(fps: DataFrame, distance: int) -> DataFrame:
-    """Links from each fingerprint to the least one that equals it outside a group of `distance` neighbouring bits."""
-    groups = [_mask(bit, min(distance, 64 - bit)) for bit in range(0, 64, distance)] if distance else []
-    rest = F.explode(F.array(*[
-        F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.bitwise_not(m)).alias("rest")) for k, m in enumerate(groups)
-    ])).alias("s")
-    keyed = fps.select("fp", rest).select("fp", "s.*")
-    heads = keyed.groupBy("k", "rest").agg(F.min("fp").alias("v"), F.max("fp").alias("top")).filter("v < top")
-    return keyed.join(heads, ["k", "rest"]).filter("fp <> v").select(F.col("fp").alias("u"), "v")
-
-
-def fingerprint_classes(fps: DataFrame, distance: int) -> DataFrame:
-    """(fp, root) for distinct fingerprints that link to others; root names the component."""
-    if not distance:
-        return fps.select("fp", F.col("fp").alias("root"))
-    stars = stored(_stars(fps, distance), "stars")
+    side = lambda p, around: _cells(
+        rooted.select(*[F.col(n).alias(p + n) for n in names], F.col("root").alias(p + "root")), distance,
+        [p + n for n in names], around,
+    ).withColumnRenamed("cell", p + "cell")
+    bound = _apart("a_", "b_", names, embedded=True) <= distance
+    exact = _apart("a_", "b_", names) <= distance
+    on = (F.col("a_cell") == F.col("b_cell")) & (F.col("a_root") < F.col("b_root")) & bound & exact
+    return side("a_", True).join(side("b_", False), on).select(_node(names, "a_").alias("u"), _node(names, "b_").alias("v"))
+
+
+def _stars(fps: DataFrame, distance: int, names: Sequence[str]) -> DataFrame:
+    """Links from each fingerprint to its cells' hubs (the fingerprint with most copies) within the distance."""
+    cells = _cells(fps, distance, names, around=False)
+    hubs = stored(cells.groupBy("cell").agg(
+        F.max(F.struct("copies", *names)).alias("hub"), F.count(F.lit(1)).alias("n")
+    ).filter("n >= 2").select("cell", *[F.col(f"hub.{n}").alias(f"h_{n}") for n in names]), "hubs")
+    plain = cells.select("cell", *[F.col(n).alias(f"f_{n}") for n in names])
+    near = plain.join(hubs, "cell").filter(_apart("f_", "h_", names) <= distance)
+    return near.select(_node(names, "f_").alias("u"), _node(names, "h_").alias("v")).filter("u <> v").distinct()
+
+
+def fingerprint_classes(fps: DataFrame, distance: int, names: Sequence[str]) -> DataFrame:
+    """(node, root) for distinct fingerprints that link to others; root names the component."""
+    stars = stored(_stars(fps, distance, names), "stars")
     first = components(stars)
-    rooted = fps.join(first.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", embedding(F.col("fp")).alias("e"), F.coalesce("root", "fp").alias("root")
-    )
-    rooted = stored(rooted, "rooted")
-    links = _pairs(rooted, distance).unionByName(stars)
-    return components(links).withColumnRenamed("node", "fp")
+    rooted = fps.withColumn("node", _node(names)).join(first, "node", "left")
+    rooted = stored(rooted.select(*names, F.coalesce("root", "node").alias("root")), "rooted")
+    return components(_pairs(rooted, distance, names).unionByName(stars))
 
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3,
-    carry: Sequence[str] | None = None,
+    longs: int = 1, carry: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Documents with `fingerprint` (hexadecimal) and `component_id`, the smallest id reachable over links.
+    """Documents with `fingerprint` (hexadecimal), `component_id`, the smallest id reachable over links, and `stays`, true
+    for one row of each component: one with that id.
 
     A-Z are lower-cased, words are `[^\\x20\\x09-\\x0D]+`, shingles count as often as they occur; a text with fewer
     words is one shingle, one with none (also null) has fingerprint zero. Rows of equal id are each kept; ids that are
@@ -175,14 +189,25 @@ def near_duplicates(
     carry = list(docs.columns if carry is None else carry)
     rows = carried(docs, id_col, text)
     held = F.struct(F.col(f"in_{id_col}").alias("id"), F.struct(*[F.col("row").getField(c).alias(c) for c in carry]).alias("doc"))
-    marked = fingerprinted(rows.select(held.alias("row"), F.col(f"in_{text}").alias("text")), shingle)
-    marked = stored(marked.select(F.col("row.id").alias("id"), F.col("row.doc").alias("row"), "fp"), "fingerprints")
-    least = marked.groupBy("fp").agg(F.min("id").alias("least"))
-    classes = stored(fingerprint_classes(least.select("fp"), distance), "classes")
-    rooted = stored(least.join(classes, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "roots")
-    by_root = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    per_fp = rooted.join(by_root, "root").select("fp", "component_id")
-    joined = marked.join(per_fp, "fp").select("row", "fp", "component_id")
-    return released(joined, carry, {
-        "fingerprint": F.lower(F.lpad(F.hex("fp"), 16, "0")), "component_id": F.col("component_id"),
-    })
+    names = [f"fp{k}" for k in range(longs)]
+    marked = fingerprinted(rows.select(held.alias("row"), F.col(f"in_{text}").alias("text")), shingle, longs)
+    at = F.monotonically_increasing_id().alias("at")
+    marked = stored(marked.select(F.col("row.id").alias("id"), F.col("row.doc").alias("row"), at, *names), "fingerprints")
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "at"))
+    least = stored(marked.groupBy(*names).agg(first.alias("least"), F.count(F.lit(1)).alias("copies")), "distinct")
+    classes = stored(fingerprint_classes(least.select("copies", *names), distance, names), "classes")
+    rooted = least.withColumn("node", _node(names)).join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = stored(rooted, "roots")
+    by_root = stored(rooted.groupBy("root").agg(F.min("least").alias("first")), "least-ids")
+    per_fp = stored(rooted.join(by_root, "root").select(*names, "first"), "component-ids")
+    joined = marked.join(per_fp, names).select("row", *names, "first", (F.col("at") == F.col("first.at")).alias("stays"))
+    shown = F.concat(*[F.lower(F.lpad(F.hex(n), 16, "0")) for n in names])
+    return released(joined, carry, {"fingerprint": shown, "component_id": F.col("first.id"), "stays": F.col("stays")})
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """One document of each component (`stays`), with its own columns only."""
+    held = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    inner = docs.select(F.col(f"`{id_col}`").alias("id"), held, F.col("`text`").alias("text"))
+    found = near_duplicates(inner, "id", "text", carry=["doc"], **options)
+    return found.filter("stays").select("doc.*")
