@@ -205,14 +205,16 @@ def _long_prefixes(bodies: DataFrame, min_words: int) -> DataFrame:
     rows = bodies.select("copies", "k1", "k2", "start", "codes").mapInArrow(
         suffixes, "node long, copies long, k1 long, k2 long, start long"
     )
-    deep = rows.groupBy("node").agg(F.sum("copies").alias("leaves")).filter("leaves >= 2").select("node")
+    deep = stored(rows.groupBy("node").agg(F.sum("copies").alias("leaves")).filter("leaves >= 2").select("node"), "deep-nodes")
     return rows.filter("copies = 1").join(deep, "node", "left_semi").select("k1", "k2", "start", F.lit(1).cast("long").alias("n"))
 
 
 def repeat_spans(keyed: DataFrame, min_words: int, bin_words: int = BIN_WORDS) -> DataFrame:
     """Spans (k1, k2, start, n): the n suffixes from word `start` on each repeat somewhere else."""
     runs = stored(suffix_runs(keyed, min_words), "suffix-runs")
-    shared = runs.groupBy("prefix").agg(F.count(F.lit(1)).alias("c")).filter("c >= 2").select("prefix")
+    # counts are written before they are joined: a join of two plain exchanges lets adaptive execution split a prefix
+    # that a large share of all runs has, one with an aggregate in the same stage does not
+    shared = stored(runs.groupBy("prefix").agg(F.count(F.lit(1)).alias("c")).filter("c >= 2").select("prefix"), "shared-prefixes")
     runs = stored(runs.join(shared, "prefix", "left_semi"), "shared-runs")
     one = F.min(F.struct("k1", "k2", "place")).alias("one")
     kinds = stored(runs.groupBy("prefix", "body").agg(F.count(F.lit(1)).alias("copies"), one), "run-kinds")
@@ -221,7 +223,7 @@ def repeat_spans(keyed: DataFrame, min_words: int, bin_words: int = BIN_WORDS) -
         runs.join(kinds.filter("copies >= 2").select("prefix", "body"), ["prefix", "body"], "left_semi")
         .select("k1", "k2", start.alias("start"), n.alias("n"))
     )
-    per_prefix = kinds.groupBy("prefix").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds >= 2")
+    per_prefix = stored(kinds.groupBy("prefix").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds >= 2"), "mixed-prefixes")
     mixed_kinds = kinds.join(per_prefix, "prefix")
     asked = (
         mixed_kinds.select("prefix", "copies", "kinds", "one.*")
@@ -234,7 +236,7 @@ def repeat_spans(keyed: DataFrame, min_words: int, bin_words: int = BIN_WORDS) -
     run_words = F.length("codes") / 8
     sized = bodies.groupBy("prefix").agg(F.sum(run_words).alias("size"))
     # at most words / (bin_words / 4) prefixes
-    hot = sized.filter(F.col("size") > bin_words / 4).select("prefix")
+    hot = stored(sized.filter(F.col("size") > bin_words / 4).select("prefix"), "hot-prefixes")
     total = sized.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     bins = max(1, -(-4 * int(total) // bin_words))
     usual = bodies.join(hot, "prefix", "left_anti").withColumn("bin", F.pmod(F.xxhash64("prefix"), F.lit(bins)))
