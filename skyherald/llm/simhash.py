@@ -143,10 +143,10 @@ def _node(names: Sequence[str], prefix: str = "") -> Column:
     return F.col(prefix + names[0]) if len(names) == 1 else F.xxhash64(*[prefix + n for n in names])
 
 
-def _pairs(rooted: DataFrame, distance: int, names: Sequence[str]) -> DataFrame:
+def _pairs(rooted: DataFrame, distance: int, sure: int, names: Sequence[str]) -> DataFrame:
     """Links between fingerprints of different components so far: (u, v)."""
     side = lambda p, around: _cells(
-        rooted.select(*[F.col(n).alias(p + n) for n in names], F.col("root").alias(p + "root")), distance,
+        rooted.select(*[F.col(n).alias(p + n) for n in names], F.col("root").alias(p + "root")), sure,
         [p + n for n in names], around,
     ).withColumnRenamed("cell", p + "cell")
     bound = _apart("a_", "b_", names, embedded=True) <= distance
@@ -155,9 +155,9 @@ def _pairs(rooted: DataFrame, distance: int, names: Sequence[str]) -> DataFrame:
     return side("a_", True).join(side("b_", False), on).select(_node(names, "a_").alias("u"), _node(names, "b_").alias("v"))
 
 
-def _stars(fps: DataFrame, distance: int, names: Sequence[str]) -> DataFrame:
+def _stars(fps: DataFrame, distance: int, sure: int, names: Sequence[str]) -> DataFrame:
     """Links from each fingerprint to its cells' hubs (the fingerprint with most copies) within the distance."""
-    cells = _cells(fps, distance, names, around=False)
+    cells = _cells(fps, sure, names, around=False)
     hubs = stored(cells.groupBy("cell").agg(
         F.max(F.struct("copies", *names)).alias("hub"), F.count(F.lit(1)).alias("n")
     ).filter("n >= 2").select("cell", *[F.col(f"hub.{n}").alias(f"h_{n}") for n in names]), "hubs")
@@ -166,22 +166,26 @@ def _stars(fps: DataFrame, distance: int, names: Sequence[str]) -> DataFrame:
     return near.select(_node(names, "f_").alias("u"), _node(names, "h_").alias("v")).filter("u <> v").distinct()
 
 
-def fingerprint_classes(fps: DataFrame, distance: int, names: Sequence[str]) -> DataFrame:
+def fingerprint_classes(fps: DataFrame, distance: int, names: Sequence[str], sure: int | None = None) -> DataFrame:
     """(node, root) for distinct fingerprints that link to others; root names the component."""
-    stars = stored(_stars(fps, distance, names), "stars")
+    sure = distance if sure is None else sure
+    stars = stored(_stars(fps, distance, sure, names), "stars")
     first = components(stars)
     rooted = fps.withColumn("node", _node(names)).join(first, "node", "left")
     rooted = stored(rooted.select(*names, F.coalesce("root", "node").alias("root")), "rooted")
-    return components(_pairs(rooted, distance, names).unionByName(stars))
+    return components(_pairs(rooted, distance, sure, names).unionByName(stars))
 
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3,
-    longs: int = 1, carry: Sequence[str] | None = None,
+    longs: int = 1, sure: int | None = None, carry: Sequence[str] | None = None,
 ) -> DataFrame:
     """Documents with `fingerprint` (hexadecimal), `component_id`, the smallest id reachable over links, and `stays`, true
     for one row of each component: one with that id.
 
+    All links of up to `sure` bits (by default `distance`) are found. Beyond it, up to `distance`, a link is found if some
+    block of its pair happens to be at most 1 apart: a smaller `sure` means fewer, larger blocks and far fewer candidates.
+
     A-Z are lower-cased, words are `[^\\x20\\x09-\\x0D]+`, shingles count as often as they occur; a text with fewer
     words is one shingle, one with none (also null) has fingerprint zero. Rows of equal id are each kept; ids that are
     null are never the smallest, and a component of null ids only has a null component_id.
@@ -195,7 +199,7 @@ def near_duplicates(
     marked = stored(marked.select(F.col("row.id").alias("id"), F.col("row.doc").alias("row"), at, *names), "fingerprints")
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "at"))
     least = stored(marked.groupBy(*names).agg(first.alias("least"), F.count(F.lit(1)).alias("copies")), "distinct")
-    classes = stored(fingerprint_classes(least.select("copies", *names), distance, names), "classes")
+    classes = stored(fingerprint_classes(least.select("copies", *names), distance, names, sure), "classes")
     rooted = least.withColumn("node", _node(names)).join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = stored(rooted, "roots")
     by_root = stored(rooted.groupBy("root").agg(F.min("least").alias("first")), "least-ids")
