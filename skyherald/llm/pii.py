@@ -223,7 +223,7 @@ def fit_classifier(signatures: list[tuple[int, tuple[int, ...], int, int]], roun
     patterns: dict[tuple[int, ...], int] = {}
     for _, votes, _, count in signatures:
         patterns[votes] = patterns.get(votes, 0) + count
-    model = fit_votes(list(patterns.items()), prior=0.5)
+    model = fit_votes(list(patterns.items()), len(LABELERS), prior=0.5)
     weights = model.weights()
     prior = math.log(model.prior / (1 - model.prior))
     x = np.zeros((len(signatures), size))

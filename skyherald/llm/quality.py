@@ -124,7 +124,7 @@ def quality(
     names = [f"vote_{r.name}" for r in rules]
     rows = rows.select(kept_row, *rows.columns[1:])
     voted = stored(rows.select("*", *[vote(r).alias(n) for r, n in zip(rules, names, strict=True)]), "quality")
-    model = fit_votes(vote_patterns(voted, names))
+    model = fit_votes(vote_patterns(voted, names), len(names))
     failed = F.expr(FAILED)
     p_good = 1 / (1 + F.exp(-model.log_odds([F.col(n) for n in names]))) if names else F.lit(1.0)
     results = {m: F.col(m) for m in METRICS} | {

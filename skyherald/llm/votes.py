@@ -37,16 +37,18 @@ class VoteModel:
         return odds
 
 
-def fit_votes(patterns: list[tuple[tuple[int, ...], int]], prior: float = 0.8, rounds: int = 50) -> VoteModel:
+def fit_votes(
+    patterns: list[tuple[tuple[int, ...], int]], rules: int, prior: float = 0.8, rounds: int = 50
+) -> VoteModel:
     """Expectation-maximisation over counted vote patterns (two classes, votes independent given the class).
 
     Starts from rules that are mostly right, which also fixes which class is called good. One pseudo-document per
-    class and vote keeps every probability above zero.
+    class and vote keeps every probability above zero. Without patterns the model is the start.
     """
-    n = len(patterns[0][0]) if patterns else 0
+    n = rules
     patterns = sorted(patterns)
     given = [((0.1, 0.2, 0.7), (0.5, 0.3, 0.2)) for _ in range(n)]
-    for _ in range(rounds):
+    for _ in range(rounds if patterns else 0):
         sums = [[[1.0] * 3, [1.0] * 3] for _ in range(n)]
         total = [1.0, 1.0]
         weights = VoteModel(prior, tuple(given)).weights()
