@@ -13,7 +13,8 @@ from skyherald.functions.time import iso_utc, to_jd
 from skyherald.observatories import (
     OBSERVATORIES, error_radius, is_listened, per_observatory, stored_radius, topic_table,
 )
-from skyherald.operators.skymap import decode_skymap, map_summary
+from skyherald.operators.grade import drop_json_key
+from skyherald.operators.skymap import decode_skymap
 from skyherald.plans.sizing import computed_once, running_sum
 
 VOEVENT = """
@@ -162,7 +163,13 @@ def parse_notices(raw: DataFrame, test: bool = False, observatories=OBSERVATORIE
         .when(circle & F.col("region_arcmin").isNull(), "unknown instrument")
         .when(alert & (F.col("format") == "json") & F.col("skymap").isNull(), "no sky map")
     )
-    return computed_once(df.withColumn("reason", reason), "reason")
+    df = computed_once(df.withColumn("reason", reason), "reason")
+    # only maps of messages that are notices so far are decoded; one that cannot be read is a dead letter too
+    text = F.when(F.col("reason").isNull() & (F.col("format") == "json"), F.col("skymap"))
+    df = df.withColumn("map", decode_skymap(text))
+    unreadable = text.isNotNull() & alert & F.col("map.uniq").isNull()
+    df = df.withColumn("reason", F.when(unreadable, "unreadable sky map").otherwise(F.col("reason")))
+    return computed_once(df, "reason", "map")
 
 
 def dead_letter(parsed: DataFrame) -> DataFrame:
@@ -171,33 +178,36 @@ def dead_letter(parsed: DataFrame) -> DataFrame:
     return parsed.filter(bad).select("topic", "value", "ackTime", "reason")
 
 
-def notice_row(parsed: DataFrame, observatories=OBSERVATORIES, with_skymap: bool = False) -> DataFrame:
+def notice_row(
+    parsed: DataFrame, observatories=OBSERVATORIES, with_skymap: bool = False, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """The accepted messages as rows of the notice table (all columns but `gcn_status`).
 
-    A sky map gives the position (its densest pixel) and the "radius" (its 90 % area in square arcmin).
+    A sky map gives the position (its densest pixel) and the "radius" (its 90 % area in square arcmin). Its text is cut
+    out of `raw_event`, as the pixels have a table of their own (`with_skymap` hands them on).
     """
     obs = F.col("observatory")
     kept = parsed.filter(F.col("reason").isNull())
-    kept = kept.withColumn("__map", decode_skymap("skymap"))
-    kept = kept.withColumn("__sum", map_summary(F.col("__map.uniq"), F.col("__map.probdensity")))
     is_map = per_observatory(obs, lambda o: o.region == "skymap", observatories, default=False)
     day = F.coalesce("trigger_time", "ackTime")
     out = kept.select(
-        "observatory", "instrument", "event", "event_type",
+        *carry, "observatory", "instrument", "event", "event_type",
         F.when(F.col("format") == "json", F.lit("")).otherwise(F.col("xml._ivorn")).alias("ivorn"),
         "triggerId",
-        F.when(is_map, F.col("__sum.ra")).otherwise(F.col("ra")).alias("ra"),
-        F.when(is_map, F.col("__sum.dec")).otherwise(F.col("dec")).alias("dec"),
-        F.when(is_map, F.col("__sum.area_arcmin2"))
+        F.when(is_map, F.col("map.ra")).otherwise(F.col("ra")).alias("ra"),
+        F.when(is_map, F.col("map.dec")).otherwise(F.col("dec")).alias("dec"),
+        F.when(is_map, F.col("map.area_arcmin2"))
         .otherwise(stored_radius(obs, F.col("region_arcmin"), observatories)).alias("err_arcmin"),
         "region_arcmin", "ackTime",
         to_jd(F.col("trigger_time")).alias("triggerTimejd"),
         iso_utc(F.col("trigger_time")).alias("triggerTimeUTC"),
         F.col("value").alias("raw_event"),
         *[F.date_format(day, p).alias(n) for n, p in (("year", "yyyy"), ("month", "MM"), ("day", "dd"))],
-        *(["__map"] if with_skymap else []),
+        *([F.struct("map.uniq", "map.probdensity").alias("skymap"), F.col("map.uniq").isNotNull().alias("__has_map")] if with_skymap else []),
     )
-    return out.withColumnRenamed("__map", "skymap") if with_skymap else out
+    if with_skymap:
+        out = out.withColumn("skymap", F.when(F.col("__has_map"), F.col("skymap"))).drop("__has_map")
+    return drop_json_key(out)
 
 
 def status_text(rank: Column) -> Column:
@@ -205,23 +215,32 @@ def status_text(rank: Column) -> Column:
     return F.when(rank <= 1, "initial").otherwise(F.concat(F.lit("update_"), (rank - 2).cast("string")))
 
 
+def is_fresh(time_window: float, ack: str = "ackTime") -> Column:
+    """Whether a notice arrives while its trigger is remembered."""
+    return F.coalesce(to_jd(F.col(ack)) - F.col("triggerTimejd") < time_window, F.lit(True))
+
+
 def notice_status(
     notices: DataFrame, time_window: float = 7, key: str = "triggerId", ack: str = "ackTime",
-    tie: Column | None = None,
+    tie: Column | None = None, received: DataFrame | None = None,
 ) -> DataFrame:
-    """Add `gcn_status`, the update number in order of arrival (batch form).
+    """Add `gcn_status`, the update number in order of arrival.
 
     A trigger is remembered for `time_window` days after its trigger time; a notice that arrives later finds
     no predecessor and is `initial`. Works for a trigger of any number of notices (see `running_sum`).
+    `received` has per trigger the number of fresh notices before these, for a table that comes in parts.
     """
     tie = F.xxhash64(*[c for c in notices.columns if c != "raw_event"]) if tie is None else tie
-    fresh = F.coalesce(to_jd(F.col(ack)) - F.col("triggerTimejd") < time_window, F.lit(True))
+    fresh = is_fresh(time_window, ack)
     marked = notices.withColumns(
         {"__order": F.unix_micros(ack), "__tie": tie, "__fresh": fresh.cast("bigint")}
     )
     ranked = running_sum(marked, [key], "__order", "__tie", F.col("__fresh"), "__rank")
-    status = F.when(F.col("__fresh") == 1, status_text(F.col("__rank"))).otherwise(F.lit("initial"))
-    return ranked.withColumn("gcn_status", status).drop("__order", "__tie", "__fresh", "__rank")
+    before = F.lit(0)
+    if received is not None:
+        ranked, before = ranked.join(received.select(key, F.col("received").alias("__before")), key, "left"), F.coalesce("__before", F.lit(0))
+    status = F.when(F.col("__fresh") == 1, status_text(F.col("__rank") + before)).otherwise(F.lit("initial"))
+    return ranked.withColumn("gcn_status", status).select(*notices.columns, "gcn_status")
 
 
 def notice_inventory(notices: DataFrame) -> DataFrame:

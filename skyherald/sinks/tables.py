@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,6 +18,23 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite") -> None
     df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).parquet(path)
 
 
+def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """Write a micro-batch below year / month / day / batch, so that a repeated batch replaces itself and no other."""
+    rows = df.withColumn("batch", F.lit(batch_id).cast("long"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS, "batch").parquet(path)
+
+
+def existing_days(spark: SparkSession, path: str, days: Iterable[datetime.date]) -> list[str]:
+    """The folders of these days that a partitioned table has: listing a table of years is left out."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    out = []
+    for d in sorted(days):
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/year={d:%Y}/month={d:%m}/day={d:%d}")
+        if folder.getFileSystem(conf).exists(folder):
+            out.append(folder.toString())
+    return out
+
+
 def stream_partitioned(
     df: DataFrame, path: str, checkpoint: str, interval: str | None = "30 seconds", name: str | None = None
 ) -> StreamingQuery:
