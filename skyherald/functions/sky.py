@@ -316,6 +316,41 @@ def ang2pix_nest(level: int, ra: Column, dec: Column) -> Column:
     return let(corner_lines, z=F.sin(theta), c=F.cos(theta), tt=F.pmod(ra / 90.0, F.lit(4.0)))
 
 
+def with_nest_index(df: DataFrame, ra: str, dec: str, name: str) -> DataFrame:
+    """Add the NESTED cell at `MAX_LEVEL`, in steps that name every intermediate value.
+
+    Same result as `ang2pix_nest`. As steps on columns, with masks and shifts, it stays inside the generated code.
+    """
+    c, level, n = F.col, MAX_LEVEL, 1 << MAX_LEVEL
+    mask = F.lit(n - 1)
+    theta = F.radians(c(dec))
+    df = df.withColumns({"__z": F.sin(theta), "__c": F.cos(theta), "__tt": F.pmod(c(ra) / 90.0, F.lit(4.0))})
+    df = df.withColumns({
+        "__belt": F.abs("__z") <= 2.0 / 3.0, "__quarter": F.least(F.floor("__tt"), F.lit(3).cast("bigint")),
+        "__t": n * math.sqrt(3.0) * c("__c") / F.sqrt(1 + F.abs("__z")), "__a": n * (0.5 + c("__tt")), "__b": 0.75 * n * c("__z"),
+    })
+    df = df.withColumn("__tp", c("__tt") - c("__quarter"))
+    df = df.withColumns({
+        "__jp": F.when(c("__belt"), F.floor(c("__a") - c("__b"))).otherwise(F.least(F.floor(c("__tp") * c("__t")), mask)),
+        "__jm": F.when(c("__belt"), F.floor(c("__a") + c("__b"))).otherwise(F.least(F.floor((1 - c("__tp")) * c("__t")), mask)),
+    })
+    df = df.withColumns({"__fp": F.shiftright("__jp", level), "__fm": F.shiftright("__jm", level)})
+    belt_face = (
+        F.when(c("__fp") == c("__fm"), c("__fp").bitwiseOR(F.lit(4))).when(c("__fp") < c("__fm"), c("__fp")).otherwise(c("__fm") + 8)
+    )
+    north = c("__z") >= 0
+    df = df.withColumns({
+        "__face": F.when(c("__belt"), belt_face).when(north, c("__quarter")).otherwise(c("__quarter") + 8).cast("bigint"),
+        "__x": F.when(c("__belt"), c("__jm").bitwiseAND(mask)).when(north, n - c("__jm") - 1).otherwise(c("__jp")).cast("bigint"),
+        "__y": F.when(c("__belt"), n - c("__jp").bitwiseAND(mask) - 1).when(north, n - c("__jp") - 1).otherwise(c("__jm")).cast("bigint"),
+    })
+    for shift, kept in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, EVEN_BITS)):
+        df = df.withColumns({v: c(v).bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(kept)) for v in ("__x", "__y")})
+    index = F.shiftleft("__face", 2 * level) + c("__x") + F.shiftleft("__y", 1)
+    working = ("z", "c", "tt", "belt", "quarter", "t", "a", "b", "tp", "jp", "jm", "fp", "fm", "face", "x", "y")
+    return df.withColumn(name, index).drop(*[f"__{w}" for w in working])
+
+
 def uniq_level(uniq: Column) -> Column:
     """Level of a UNIQ number, from its count of binary digits (no logarithm, so no rounding)."""
     return (F.floor((F.length(F.bin(uniq)) - 1) / 2) - 1).cast("int")

@@ -21,15 +21,20 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--kafka", help="bootstrap servers")
     p.add_argument("--files", help="folder for one sub-folder per topic instead of Kafka")
     p.add_argument("--topic-prefix", default="")
+    p.add_argument("--avro-schema", help="file with the Avro schema of the payload; JSON without it")
     p.add_argument("--exit-after", type=float)
     p.add_argument("--interval", default="30 seconds")
     a = p.parse_args(argv)
     _, rules = load(a.config)
     spark = build_session(f"distribute-{a.night}")
     write = (lambda rows, batch_id: write_kafka(rows, a.kafka)) if a.kafka else None
+    avro_schema = None
+    if a.avro_schema:
+        with open(a.avro_schema) as f:
+            avro_schema = f.read()
     query = stream_topics(
         matches_stream(spark, a.matches, a.night), rules, a.checkpoint, path=a.files, write=write,
-        interval=a.interval, prefix=a.topic_prefix,
+        interval=a.interval, prefix=a.topic_prefix, avro_schema=avro_schema,
     )
     bounded_run(query, a.exit_after)
 

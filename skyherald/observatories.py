@@ -34,19 +34,21 @@ class Observatory:
 
 
 # fixed values: names, packet types, topics, rates and error rules of the observatories
-CLASSIC = "gcn.classic.voevent."
 OBSERVATORIES = (
     Observatory(
         name="Fermi",
         message_format="xml",
         packet_types=("111", "112", "115", "120", "121", "127", "123", "125"),
-        topics=tuple(
-            CLASSIC + "FERMI_" + t
-            for t in (
-                "GBM_ALERT", "GBM_FIN_POS", "GBM_FLT_POS", "GBM_GND_POS", "GBM_LC", "GBM_POS_TEST", "GBM_SUBTHRESH",
-                "GBM_TRANS", "LAT_GND", "LAT_MONITOR", "LAT_OFFLINE", "LAT_POS_DIAG", "LAT_POS_INI", "LAT_POS_TEST",
-                "LAT_POS_UPD", "LAT_TRANS", "POINTDIR", "SC_SLEW",
-            )
+        topics=(
+            "gcn.classic.voevent.FERMI_GBM_ALERT", "gcn.classic.voevent.FERMI_GBM_FIN_POS",
+            "gcn.classic.voevent.FERMI_GBM_FLT_POS", "gcn.classic.voevent.FERMI_GBM_GND_POS",
+            "gcn.classic.voevent.FERMI_GBM_LC", "gcn.classic.voevent.FERMI_GBM_POS_TEST",
+            "gcn.classic.voevent.FERMI_GBM_SUBTHRESH", "gcn.classic.voevent.FERMI_GBM_TRANS",
+            "gcn.classic.voevent.FERMI_LAT_GND", "gcn.classic.voevent.FERMI_LAT_MONITOR",
+            "gcn.classic.voevent.FERMI_LAT_OFFLINE", "gcn.classic.voevent.FERMI_LAT_POS_DIAG",
+            "gcn.classic.voevent.FERMI_LAT_POS_INI", "gcn.classic.voevent.FERMI_LAT_POS_TEST",
+            "gcn.classic.voevent.FERMI_LAT_POS_UPD", "gcn.classic.voevent.FERMI_LAT_TRANS",
+            "gcn.classic.voevent.FERMI_POINTDIR", "gcn.classic.voevent.FERMI_SC_SLEW",
         ),
         rate=250.0,
         trigger_param="TrigID",
@@ -57,18 +59,29 @@ OBSERVATORIES = (
         name="SWIFT",
         message_format="xml",
         packet_types=("61", "63", "65", "67", "81", "84", "97"),
-        topics=tuple(
-            CLASSIC + "SWIFT_" + t
-            for t in (
-                "ACTUAL_POINTDIR", "BAT_ALARM_LONG", "BAT_ALARM_SHORT", "BAT_GRB_ALERT", "BAT_GRB_LC",
-                "BAT_GRB_LC_PROC", "BAT_GRB_POS_ACK", "BAT_GRB_POS_NACK", "BAT_GRB_POS_TEST", "BAT_KNOWN_SRC",
-                "BAT_MONITOR", "BAT_QL_POS", "BAT_SCALEDMAP", "BAT_SLEW_POS", "BAT_SUB_THRESHOLD", "BAT_SUBSUB",
-                "BAT_TRANS", "FOM_OBS", "FOM_PPT_ARG_ERR", "FOM_SAFE_POINT", "FOM_SLEW_ABORT", "POINTDIR",
-                "SC_SLEW", "TOO_FOM", "TOO_SC_SLEW", "UVOT_DBURST", "UVOT_DBURST_PROC", "UVOT_EMERGENCY",
-                "UVOT_FCHART", "UVOT_FCHART_PROC", "UVOT_POS", "UVOT_POS_NACK", "XRT_CENTROID", "XRT_EMERGENCY",
-                "XRT_IMAGE", "XRT_IMAGE_PROC", "XRT_LC", "XRT_POSITION", "XRT_SPECTRUM", "XRT_SPECTRUM_PROC",
-                "XRT_SPER", "XRT_SPER_PROC", "XRT_THRESHPIX", "XRT_THRESHPIX_PROC",
-            )
+        topics=(
+            "gcn.classic.voevent.SWIFT_ACTUAL_POINTDIR", "gcn.classic.voevent.SWIFT_BAT_ALARM_LONG",
+            "gcn.classic.voevent.SWIFT_BAT_ALARM_SHORT", "gcn.classic.voevent.SWIFT_BAT_GRB_ALERT",
+            "gcn.classic.voevent.SWIFT_BAT_GRB_LC", "gcn.classic.voevent.SWIFT_BAT_GRB_LC_PROC",
+            "gcn.classic.voevent.SWIFT_BAT_GRB_POS_ACK", "gcn.classic.voevent.SWIFT_BAT_GRB_POS_NACK",
+            "gcn.classic.voevent.SWIFT_BAT_GRB_POS_TEST", "gcn.classic.voevent.SWIFT_BAT_KNOWN_SRC",
+            "gcn.classic.voevent.SWIFT_BAT_MONITOR", "gcn.classic.voevent.SWIFT_BAT_QL_POS",
+            "gcn.classic.voevent.SWIFT_BAT_SCALEDMAP", "gcn.classic.voevent.SWIFT_BAT_SLEW_POS",
+            "gcn.classic.voevent.SWIFT_BAT_SUB_THRESHOLD", "gcn.classic.voevent.SWIFT_BAT_SUBSUB",
+            "gcn.classic.voevent.SWIFT_BAT_TRANS", "gcn.classic.voevent.SWIFT_FOM_OBS",
+            "gcn.classic.voevent.SWIFT_FOM_PPT_ARG_ERR", "gcn.classic.voevent.SWIFT_FOM_SAFE_POINT",
+            "gcn.classic.voevent.SWIFT_FOM_SLEW_ABORT", "gcn.classic.voevent.SWIFT_POINTDIR",
+            "gcn.classic.voevent.SWIFT_SC_SLEW", "gcn.classic.voevent.SWIFT_TOO_FOM",
+            "gcn.classic.voevent.SWIFT_TOO_SC_SLEW", "gcn.classic.voevent.SWIFT_UVOT_DBURST",
+            "gcn.classic.voevent.SWIFT_UVOT_DBURST_PROC", "gcn.classic.voevent.SWIFT_UVOT_EMERGENCY",
+            "gcn.classic.voevent.SWIFT_UVOT_FCHART", "gcn.classic.voevent.SWIFT_UVOT_FCHART_PROC",
+            "gcn.classic.voevent.SWIFT_UVOT_POS", "gcn.classic.voevent.SWIFT_UVOT_POS_NACK",
+            "gcn.classic.voevent.SWIFT_XRT_CENTROID", "gcn.classic.voevent.SWIFT_XRT_EMERGENCY",
+            "gcn.classic.voevent.SWIFT_XRT_IMAGE", "gcn.classic.voevent.SWIFT_XRT_IMAGE_PROC",
+            "gcn.classic.voevent.SWIFT_XRT_LC", "gcn.classic.voevent.SWIFT_XRT_POSITION",
+            "gcn.classic.voevent.SWIFT_XRT_SPECTRUM", "gcn.classic.voevent.SWIFT_XRT_SPECTRUM_PROC",
+            "gcn.classic.voevent.SWIFT_XRT_SPER", "gcn.classic.voevent.SWIFT_XRT_SPER_PROC",
+            "gcn.classic.voevent.SWIFT_XRT_THRESHPIX", "gcn.classic.voevent.SWIFT_XRT_THRESHPIX_PROC",
         ),
         rate=100.0,
         trigger_param="TrigID",
@@ -78,8 +91,10 @@ OBSERVATORIES = (
         name="INTEGRAL",
         message_format="xml",
         packet_types=("53", "54", "56"),
-        topics=tuple(
-            CLASSIC + "INTEGRAL_" + t for t in ("OFFLINE", "POINTDIR", "REFINED", "SPIACS", "WAKEUP", "WEAK")
+        topics=(
+            "gcn.classic.voevent.INTEGRAL_OFFLINE", "gcn.classic.voevent.INTEGRAL_POINTDIR",
+            "gcn.classic.voevent.INTEGRAL_REFINED", "gcn.classic.voevent.INTEGRAL_SPIACS",
+            "gcn.classic.voevent.INTEGRAL_WAKEUP", "gcn.classic.voevent.INTEGRAL_WEAK",
         ),
         rate=60.0,
         trigger_param="TrigID",
@@ -89,7 +104,10 @@ OBSERVATORIES = (
         name="ICECUBE",
         message_format="xml",
         packet_types=("157", "173", "174", "176"),
-        topics=tuple(CLASSIC + "ICECUBE_" + t for t in ("ASTROTRACK_BRONZE", "ASTROTRACK_GOLD", "CASCADE")),
+        topics=(
+            "gcn.classic.voevent.ICECUBE_ASTROTRACK_BRONZE", "gcn.classic.voevent.ICECUBE_ASTROTRACK_GOLD",
+            "gcn.classic.voevent.ICECUBE_CASCADE",
+        ),
         rate=-1.0,
         trigger_param="AMON_ID",
         error_rules={"": (0.0, 60.0)},

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from skyherald.functions import sky
 
 NO_NEIGHBOUR = -999.0
-# never read: image stamps and bookkeeping
+# fixed values: never read, image stamps and bookkeeping
 PRUNED = (
     "schemavsn", "publisher", "cutoutScience", "cutoutTemplate", "cutoutDifference", "year", "month", "day",
 )

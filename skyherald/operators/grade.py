@@ -13,7 +13,7 @@ from skyherald.observatories import OBSERVATORIES, of_assoc
 
 FIVE_SIGMA = math.erf(5 / math.sqrt(2))
 
-# working columns that a match does not keep
+# fixed values: working columns that a match does not keep
 WORKING = (
     "candidate", "prv_candidates", "timestamp", "hpix", "hpix_circle", "index", "cmagpsf", "cdiffmaglim", "cjd",
     "cfid", "tracklet", "ivorn", "triggerTimejd", "separation", "region_arcmin", "event_type", "density",

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from skyherald.functions import probability, sky
 from skyherald.observatories import OBSERVATORIES, of_assoc, per_observatory, rate_of
-from skyherald.operators.regions import TIERS, Tier, used_tiers, with_alert_keys, with_notice_keys
-from skyherald.plans.sizing import BROADCAST_ROWS, computed_once, skew_join, total
+from skyherald.operators.regions import TIERS, Tier, used_tiers, with_alert_keys, with_notice_keys, with_time_keys
+from skyherald.plans.sizing import BROADCAST_BYTES, BROADCAST_ROWS, computed_once, skew_join, total
 
 # an association accepts separations up to this multiple of the error radius
 CONE_FACTOR = 1.5
+# days after the trigger in which alerts are paired with it
+MAX_DELAY = 7.0
 NOT_ASSOCIATED = -1.0
 
 _ALERT_VECTOR = ("__ax", "__ay", "__az")
@@ -31,6 +33,12 @@ def circle_notices(notices: DataFrame, observatories=OBSERVATORIES) -> DataFrame
     )
 
 
+def map_notices(notices: DataFrame, observatories=OBSERVATORIES) -> DataFrame:
+    """Notices whose region is a sky map; retractions have none."""
+    is_map = per_observatory(F.col("observatory"), lambda o: o.region == "skymap", observatories, default=False)
+    return notices.filter(is_map & (F.col("event_type") == "alert"))
+
+
 def crossmatch(
     alerts: DataFrame,
     notices: DataFrame,
@@ -38,38 +46,50 @@ def crossmatch(
     tiers: tuple[Tier, ...] = TIERS,
     cone_factor: float | None = CONE_FACTOR,
     broadcast_rows: int = BROADCAST_ROWS,
+    max_delay: float | None = MAX_DELAY,
 ) -> DataFrame:
-    """Pairs of an alert and a circle notice in the same sky cell, the alert starting after the trigger.
+    """Pairs of an alert and a circle notice in the same sky cell, the alert starting after the trigger and taken at most
+    `max_delay` days after it. The time is part of the join's key, so pairs grow with the alerts, not with their square.
 
-    `alerts` has candid, ztf_ra, ztf_dec, jdstarthist; `notices` has gcn_ra, gcn_dec, region_arcmin,
+    `alerts` has candid, ztf_ra, ztf_dec, jdstarthist, jd; `notices` has gcn_ra, gcn_dec, region_arcmin,
     triggerTimejd; all other columns travel along. The exact cone test (`cone_factor` radii) is part of the
     join condition, on unit vectors computed once per row. `cover_factor=1.5` gives every pair of the cone,
     whatever the grid; `cover_factor=1.0` with one NSIDE gives the pairs that share a cell of the bare circle.
 
-    The notice side is broadcast while a bound of its number of cells, from one aggregate over the notices,
-    stays small: then the alerts are not shuffled. Otherwise both sides are shuffled by cell and hot cells are
+    The notice side is broadcast while a bound of its number of cells and of their bytes, from one aggregate over the
+    notices, stays small: then the alerts are not shuffled. Otherwise both sides are shuffled by cell and hot cells are
     salted.
     """
     # a cover as wide as the cone is refined exactly, so a coarser and cheaper one gives the same pairs
     complete = cone_factor is not None and cone_factor <= cover_factor
     oversampling = 2 if complete else 4
-    tiers, cells = used_tiers(notices, cover_factor, tiers, oversampling)
+    tiers, cells, width = used_tiers(notices, cover_factor, tiers, oversampling)
     left = with_alert_keys(_with_vector(alerts, "ztf_ra", "ztf_dec", _ALERT_VECTOR), tiers)
     right = with_notice_keys(_with_vector(notices, "gcn_ra", "gcn_dec", _NOTICE_VECTOR), cover_factor, tiers, oversampling)
     cond = F.col("jdstarthist") > F.col("triggerTimejd")
     if cone_factor is not None:
         right = right.withColumn("__reach", sky.chord2_of(F.col("region_arcmin") / 60.0 * cone_factor))
         cond = cond & (_pair_chord2() <= F.col("__reach"))
+    left, right, key = with_time_keys(left, right, max_delay)
+    if max_delay is not None:
+        cond, cells = cond & _in_time(max_delay), 2 * cells
+    # vectors, reach and cell come on top of a notice's own width
+    if cells * (width + 80) > BROADCAST_BYTES:
+        cells = None
     pairs = skew_join(
-        left, right, ["cell"], ["candid"], small_rows=cells, condition=cond, broadcast_rows=broadcast_rows
+        left, right, ["cell", *key], ["candid"], small_rows=cells, condition=cond, broadcast_rows=broadcast_rows
     )
     pairs = pairs.withColumn("separation", sky.separation_of(_pair_chord2())).drop(
-        "cell", "__reach", *_ALERT_VECTOR, *_NOTICE_VECTOR
+        "cell", *key, "__reach", *_ALERT_VECTOR, *_NOTICE_VECTOR
     )
     # a later filter on the association must not become part of the join condition, tested for every candidate
     return computed_once(pairs, "separation")
 
 
+def _in_time(max_delay: float) -> Column:
+    return F.col("jd") <= F.col("triggerTimejd") + F.lit(max_delay)
+
+
 def _pair_chord2() -> Column:
     return sky.chord2([F.col(c) for c in _ALERT_VECTOR], [F.col(c) for c in _NOTICE_VECTOR])
 
@@ -115,9 +135,12 @@ def dedup_matches(
     )
 
 
-def reattach_raw(matches: DataFrame, notices: DataFrame, max_broadcast_bytes: int = 64 << 20) -> DataFrame:
-    """Bring each match the raw text of its own notice version."""
-    raw = notices.select("triggerId", "gcn_status", "raw_event")
+def reattach_raw(
+    matches: DataFrame, notices: DataFrame, max_broadcast_bytes: int = 64 << 20, key=("triggerId", "gcn_status")
+) -> DataFrame:
+    """Bring each match the raw text of its own notice version. `key` names one notice: (triggerId, gcn_status) does not
+    where versions arrive after their trigger's window, which are all `initial`."""
+    raw = notices.select(*key, "raw_event")
     size = total(raw, F.octet_length("raw_event").cast("bigint") + 100)
     rows = 0 if size <= max_broadcast_bytes else None
-    return skew_join(matches, raw, ["triggerId", "gcn_status"], ["candid"], small_rows=rows)
+    return skew_join(matches, raw, list(key), ["candid"], small_rows=rows)

@@ -1,4 +1,4 @@
-"""Sky cells of notices and alerts: the buckets that turn the sky join into an equi join.
+"""Sky cells and time spans of notices and alerts: the buckets that turn the join into an equi join.
 
 A cell key is 4*NSIDE^2 + RING cell, unique over all NSIDE, so that small and large regions can use
 different grids in the same join.
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyherald.functions import sky
+from skyherald.plans.sizing import row_bytes
 
 # (NSIDE, radius in degrees up to which this grid is used), finest first; None = no limit
 Tier = tuple[int, float | None]
@@ -77,13 +78,25 @@ def with_alert_keys(alerts: DataFrame, tiers: tuple[Tier, ...] = TIERS) -> DataF
 
 def used_tiers(
     notices: DataFrame, cover_factor: float, tiers: tuple[Tier, ...] = TIERS, oversampling: int = 4
-) -> tuple[tuple[Tier, ...], int]:
-    """(tiers that some notice uses, bound of the number of notice cells), from one aggregate over the notices."""
+) -> tuple[tuple[Tier, ...], int, int]:
+    """(tiers that some notice uses, bound of the number of notice cells, bytes of the widest notice), from one aggregate
+    over the notices."""
     radius = F.col("region_arcmin") / 60.0 * cover_factor
     bounds = [
         F.sum(F.when(mine, sky.disc_cell_bound(nside, radius, oversampling))).alias(f"t{i}")
         for i, (nside, mine) in enumerate(tier_of(radius, tiers))
     ]
-    found = notices.agg(*bounds).first()
-    used = tuple(t for t, n in zip(tiers, found) if n)
-    return used or tiers[-1:], sum(n or 0 for n in found)
+    *found, width = notices.agg(*bounds, F.max(row_bytes(notices)).alias("width")).first()
+    used = tuple(t for t, n in zip(tiers, found, strict=True) if n)
+    return used or tiers[-1:], sum(n or 0 for n in found), width or 0
+
+
+def with_time_keys(alerts: DataFrame, notices: DataFrame, max_delay: float | None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Number the stretches of `max_delay` days: an alert lies in one, and a notice reaches into its own and the next."""
+    if max_delay is None:
+        return alerts, notices, []
+    # a little longer than the delay, so that rounding cannot put an alert two stretches on
+    width = F.lit(max_delay + 1e-3)
+    own = F.floor(F.col("triggerTimejd") / width)
+    alerts = alerts.withColumn("__span", sky.known(F.floor(F.col("jd") / width), -1))
+    return alerts, notices.withColumn("__span", F.explode_outer(F.array(own, own + 1))), ["__span"]

@@ -6,43 +6,82 @@ Tables here have key columns (by default triggerId, gcn_status), `row_idx`, `uni
 from __future__ import annotations
 
 import base64
+import math
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyherald.functions import sky
+from skyherald.operators.regions import with_time_keys
 from skyherald.plans.sizing import running_sum, skew_join, total
 from skyherald.sources import fits
 
 KEY = ("triggerId", "gcn_status")
 
-_ARRAYS = T.StructType(
-    [T.StructField("uniq", T.ArrayType(T.LongType())), T.StructField("probdensity", T.ArrayType(T.DoubleType()))]
-)
-
-
-@F.pandas_udf(_ARRAYS)
+_DECODED = T.StructType([
+    T.StructField("uniq", T.ArrayType(T.LongType())), T.StructField("probdensity", T.ArrayType(T.DoubleType())),
+    T.StructField("ra", T.DoubleType()), T.StructField("dec", T.DoubleType()), T.StructField("area_arcmin2", T.DoubleType()),
+])
+
+
+def _levels(uniq: np.ndarray) -> np.ndarray:
+    """Level of each UNIQ number, by comparing with the first number of each level."""
+    return np.searchsorted(4 << (2 * np.arange(sky.MAX_LEVEL + 1, dtype=np.int64)), uniq, side="right") - 1
+
+
+def _centre(uniq: int) -> tuple[float, float]:
+    """(ra, dec) of a UNIQ cell's centre."""
+    level = (uniq.bit_length() - 1) // 2 - 1
+    face, inner = divmod(uniq - (4 << 2 * level), 1 << 2 * level)
+    side = 1 << level
+    x = sum((inner >> 2 * b & 1) << b for b in range(level))
+    y = sum((inner >> (2 * b + 1) & 1) << b for b in range(level))
+    ring = sky.BASE_RING[face] * side - x - y - 1
+    polar = min(ring, 4 * side - ring)
+    if polar < side:
+        length, shift, cap = polar, 0, polar * float(polar) / (3 * side * side)
+        z = 1 - cap if ring < side else cap - 1
+    else:
+        length, shift, z = side, (ring - side) % 2, (2 * side - ring) * 2 / (3 * side)
+    column = (sky.BASE_LONGITUDE[face] * length + x - y + 1 + shift) >> 1
+    quarter_turns = ((column - (shift + 1) * 0.5) / length) % 4.0
+    return quarter_turns * 90.0, math.degrees(math.asin(z))
+
+
+def summarise(uniq: np.ndarray, density: np.ndarray, prob: float = 0.9) -> tuple[float, float, float]:
+    """(ra, dec, area in square arcmin) of a map: its densest pixel, the first on ties, and its credible area."""
+    order = np.argsort(-density, kind="stable")
+    area = 4 * math.pi / 12 / np.exp2(2.0 * _levels(uniq[order]))
+    inside = np.cumsum(area * density[order]) < prob
+    return *_centre(int(uniq[order[0]])), float(np.cumsum(area * inside)[-1] * (180 / math.pi * 60) ** 2)
+
+
+@F.pandas_udf(_DECODED)
 def decode_skymap(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """base64 FITS text -> struct of arrays; null for a missing or unreadable map."""
+    """base64 FITS text -> struct of arrays, peak and credible area; null for a missing, damaged or empty map."""
 
     def decode(text):
         if text is None:
-            return None, None
+            return None, None, None, None, None
         try:
             data = base64.b64decode(text)
             if data[:2] == b"\x1f\x8b":
                 data = zlib.decompress(data, wbits=31)
             t = fits.read_table(data, ["UNIQ", "PROBDENSITY"])
-        except (ValueError, KeyError):
-            return None, None
-        return t["UNIQ"].astype("int64"), t["PROBDENSITY"].astype("float64")
+            uniq, density = t["UNIQ"].astype("int64"), t["PROBDENSITY"].astype("float64")
+            if not len(uniq) or uniq.min() < 4 or not np.isfinite(density).all():
+                raise ValueError("not a sky map")
+        except (ValueError, KeyError, TypeError, IndexError, EOFError, zlib.error):
+            return None, None, None, None, None
+        return uniq, density, *summarise(uniq, density)
 
     for batch in texts:
-        yield pd.DataFrame([decode(t) for t in batch], columns=["uniq", "probdensity"])
+        yield pd.DataFrame([decode(t) for t in batch], columns=_DECODED.names)
 
 
 def skymap_explode(notices: DataFrame, skymap: str = "skymap", key=KEY) -> DataFrame:
@@ -96,9 +135,14 @@ def uniq_decode(pixels: DataFrame) -> DataFrame:
     )
 
 
+def own_pixels(pixels: DataFrame) -> DataFrame:
+    """The pixels that maps came with, without what `complete_skymap` filled in."""
+    return pixels.filter(~F.col("is_filler")).drop("is_filler") if "is_filler" in pixels.columns else pixels
+
+
 def credible_region(pixels: DataFrame, prob: float = 0.9, key=KEY) -> DataFrame:
-    """Pixels, densest first, before the one that makes the cumulative probability reach `prob`."""
-    ranked = uniq_decode(pixels).withColumn("__neg", -F.col("probdensity"))
+    """Pixels, densest first, before the one that makes the cumulative probability reach `prob`. Fillers don't count."""
+    ranked = uniq_decode(own_pixels(pixels)).withColumn("__neg", -F.col("probdensity"))
     share = F.col("area_sr") * F.col("probdensity")
     return (
         running_sum(ranked, list(key), "__neg", "row_idx", share, "cumprob")
@@ -114,7 +158,7 @@ def credible_area(region: DataFrame, key=KEY) -> DataFrame:
 
 def skymap_peak(pixels: DataFrame, key=KEY) -> DataFrame:
     """Centre of each map's densest pixel, the first row on ties."""
-    best = pixels.groupBy(*key).agg(
+    best = own_pixels(pixels).groupBy(*key).agg(
         F.min(F.struct((-F.col("probdensity")).alias("neg"), "row_idx", "uniq")).alias("best")
     )
     uniq = F.col("best.uniq")
@@ -146,7 +190,7 @@ def complete_skymap(pixels: DataFrame, key=KEY) -> DataFrame:
 
     That is what a search for "the last pixel starting at or before a position" returns, so afterwards an exact
     ancestor join finds the same density without sorting positions. A window group is one map, which arrived
-    as one message.
+    as one message. `is_filler` marks what was filled in: it has no probability of its own.
     """
     whole = 12 * (1 << (2 * sky.MAX_LEVEL))
     order = Window.partitionBy(*key).orderBy("start")
@@ -171,9 +215,11 @@ def complete_skymap(pixels: DataFrame, key=KEY) -> DataFrame:
         ),
     )
     filled = gaps.select(
-        *key, "row_idx", F.explode(_range_uniqs(F.col("a"), F.col("b"))).alias("uniq"), "probdensity"
+        *key, "row_idx", F.explode(_range_uniqs(F.col("a"), F.col("b"))).alias("uniq"), "probdensity",
+        F.lit(True).alias("is_filler"),
     )
-    return pixels.select(*key, "row_idx", "uniq", "probdensity").unionByName(filled)
+    own = pixels.select(*key, "row_idx", "uniq", "probdensity", F.lit(False).alias("is_filler"))
+    return own.unionByName(filled)
 
 
 def _range_uniqs(a: Column, b: Column) -> Column:
@@ -211,9 +257,11 @@ def map_levels(pixels: DataFrame) -> list[int]:
     return sorted(r["level"] for r in rows)
 
 
-def _ancestors(ra: Column, dec: Column, levels: list[int]) -> Column:
-    index = sky.ang2pix_nest(sky.MAX_LEVEL, ra, dec)
-    return sky.let(lambda s: F.array(*[sky.uniq_at(F.lit(v), s["x"]) for v in levels]), x=index)
+def with_ancestors(points: DataFrame, ra: str, dec: str, levels: list[int]) -> DataFrame:
+    """One row per point and level: `uniq` of the cell that holds it."""
+    indexed = sky.with_nest_index(points, ra, dec, "__nest")
+    cells = [F.shiftright("__nest", 2 * (sky.MAX_LEVEL - v)) + (4 << 2 * v) for v in levels]
+    return indexed.withColumn("uniq", F.explode_outer(F.array(*[sky.known(x, -1) for x in cells]))).drop("__nest")
 
 
 def skymap_density_at(
@@ -231,7 +279,8 @@ def skymap_density_at(
     pixel of the map.
     """
     levels = map_levels(pixels) if levels is None else levels
-    ancestors = points.withColumn("uniq", F.explode_outer(_ancestors(F.col(ra), F.col(dec), levels)))
+    ancestors = with_ancestors(points, ra, dec, levels)
+    pixel_rows = total(pixels, F.lit(1)) if pixel_rows is None else pixel_rows
     density = pixels.select(*key, "uniq", sky.per_sr_to_per_deg2(F.col("probdensity")).alias("density"))
     return skew_join(ancestors, density, [*key, "uniq"], [ra, dec], small_rows=pixel_rows).drop("uniq")
 
@@ -244,6 +293,8 @@ def skymap_match(
     nside: int,
     levels: list[int] | None = None,
     pixel_rows: int | None = None,
+    key=KEY,
+    max_delay: float | None = None,
 ) -> DataFrame:
     """Pairs of alerts and map notices that share a cell of the credible region, with the map's density.
 
@@ -251,9 +302,27 @@ def skymap_match(
     the region, and joined on the alert's ancestors. `notices` carries the columns a pair needs; pairs before
     the trigger are dropped.
     """
+    side = region_pixels(pixels, cells, nside, key).join(notices, list(key))
+    if pixel_rows is None:
+        # a bound: every pixel, brought to the grid level
+        steps = F.greatest(F.lit(nside.bit_length() - 1) - sky.uniq_level(F.col("uniq")), F.lit(0))
+        pixel_rows = total(pixels, sky.power4(steps))
+    levels = map_levels(pixels) if levels is None else levels
+    ancestors = with_ancestors(alerts, "ztf_ra", "ztf_dec", sorted({max(v, nside.bit_length() - 1) for v in levels}))
+    after = F.col("jdstarthist") > F.col("triggerTimejd")
+    ancestors, side, span = with_time_keys(ancestors, side, max_delay)
+    if max_delay is not None:
+        after, pixel_rows = after & (F.col("jd") <= F.col("triggerTimejd") + F.lit(max_delay)), 2 * pixel_rows
+    return skew_join(
+        ancestors, side, ["uniq", *span], ["candid"], small_rows=pixel_rows, condition=after
+    ).drop("uniq", *span)
+
+
+def region_pixels(pixels: DataFrame, cells: DataFrame, nside: int, key=KEY) -> DataFrame:
+    """(key, uniq, density per square degree): a complete map's pixels inside the region's cells, at the grid or finer."""
     grid = nside.bit_length() - 1
     fine = uniq_decode(pixels).select(
-        *KEY, "probdensity", F.greatest("level", F.lit(grid)).alias("level"),
+        *key, "probdensity", F.greatest("level", F.lit(grid)).alias("level"),
         F.explode_outer(
             sky.let(
                 lambda s: F.sequence(s["ipix"] * s["k"], (s["ipix"] + 1) * s["k"] - 1),
@@ -263,24 +332,13 @@ def skymap_match(
     )
     above = (2 * (F.col("level") - grid)).cast("int")
     fine = fine.select(
-        *KEY, "probdensity", (4 * sky.power4(F.col("level")) + F.col("ipix")).alias("uniq"),
+        *key, "probdensity", (4 * sky.power4(F.col("level")) + F.col("ipix")).alias("uniq"),
         F.call_function("shiftright", F.col("ipix"), above).alias("grid_ipix"),
     )
     # NESTED numbers of the grid's RING cells: a fixed table of 12 NSIDE^2 rows
-    names = alerts.sparkSession.range(12 * nside * nside).select(
+    names = pixels.sparkSession.range(12 * nside * nside).select(
         F.col("id").alias("grid_ipix"), sky.nest_to_ring(nside, F.lit(grid), F.col("id")).alias("hpix")
     )
     nested = cells.join(F.broadcast(names), "hpix").drop("hpix")
-    inside = fine.join(nested, [*KEY, "grid_ipix"], "left_semi").join(notices, list(KEY))
-    if pixel_rows is None:
-        # a bound: every pixel, brought to the grid level
-        steps = F.greatest(F.lit(grid) - sky.uniq_level(F.col("uniq")), F.lit(0))
-        pixel_rows = total(pixels, sky.power4(steps))
-    levels = map_levels(pixels) if levels is None else levels
-    levels = sorted({max(v, grid) for v in levels})
-    side = inside.withColumn("density", sky.per_sr_to_per_deg2(F.col("probdensity"))).drop("grid_ipix", "probdensity")
-    ancestors = alerts.withColumn("uniq", F.explode_outer(_ancestors(F.col("ztf_ra"), F.col("ztf_dec"), levels)))
-    after = F.col("jdstarthist") > F.col("triggerTimejd")
-    return skew_join(
-        ancestors, side, ["uniq"], ["candid"], small_rows=pixel_rows, condition=after
-    ).drop("uniq")
+    inside = fine.join(nested, [*key, "grid_ipix"], "left_semi")
+    return inside.select(*key, "uniq", sky.per_sr_to_per_deg2(F.col("probdensity")).alias("density"))

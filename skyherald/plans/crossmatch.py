@@ -13,7 +13,7 @@ from skyherald.operators import skymap as sm
 from skyherald.operators.alerts import alert_position, alert_prune, alert_quality_filter, classify, history_concat
 from skyherald.operators.grade import match_projection
 from skyherald.operators.match import (
-    CONE_FACTOR, circle_notices, crossmatch, dedup_matches, keep_associated, p_assoc, reattach_raw,
+    CONE_FACTOR, MAX_DELAY, circle_notices, crossmatch, dedup_matches, keep_associated, p_assoc,
 )
 from skyherald.operators.regions import TIERS, Tier
 from skyherald.plans.sizing import skew_join, total
@@ -28,6 +28,7 @@ class MatchSettings:
     cover_factor: float = CONE_FACTOR
     tiers: tuple[Tier, ...] = TIERS
     map_nside: int = 4
+    max_delay: float = MAX_DELAY
     year_conversion: str = "double"
     ast_dist: float = 5
     ps_dist: float = 2
@@ -44,6 +45,16 @@ NOTICE_COLUMNS = (
 )
 
 
+# what a pair takes from its notice
+PAIR_COLUMNS = ("__notice", "observatory", "triggerId", "gcn_status", "region_arcmin", "ackTime", "triggerTimejd")
+KEYED = (
+    "observatory", "instrument", "event", "triggerId", "gcn_status", "ra", "dec", "err_arcmin", "ackTime",
+    "triggerTimejd", "raw_event",
+)
+# notices are broadcast to their matches while their texts and about so many bytes a row stay below the bound
+ROW_BYTES, BROADCAST_BYTES = 300, 64 << 20
+
+
 # what a pair takes from its alert; the other alert columns join the survivors
 ALERT_COLUMNS = ("objectId", "candid", "ztf_ra", "ztf_dec", "jdstarthist", "jd", "jd_first_real_det")
 
@@ -60,11 +71,16 @@ def narrow_alerts(prepared: DataFrame) -> DataFrame:
 
 
 def map_pairs(alerts: DataFrame, notices: DataFrame, pixels: DataFrame, s: MatchSettings) -> DataFrame:
-    """Pairs with sky-map notices, each with the map's density at the alert."""
-    region = sm.credible_region(pixels)
-    cells = sm.skymap_cells(region, s.map_nside)
-    maps = notices.withColumnsRenamed({"ra": "gcn_ra", "dec": "gcn_dec"}).select(*NOTICE_COLUMNS)
-    pairs = sm.skymap_match(alerts, pixels, cells, maps, s.map_nside)
+    """Pairs with sky-map notices, each with the map's density at the alert.
+
+    A pixel table that tells versions apart by `ackTime` is joined on it as well. Maps without `is_filler` may have gaps,
+    which are filled first.
+    """
+    key = (*sm.KEY, "ackTime") if "ackTime" in pixels.columns else sm.KEY
+    if "is_filler" not in pixels.columns:
+        pixels = sm.complete_skymap(pixels, key)
+    cells = sm.skymap_cells(sm.credible_region(pixels, key=key), s.map_nside, key=key)
+    pairs = sm.skymap_match(alerts, pixels, cells, notices, s.map_nside, key=key, max_delay=s.max_delay)
     return pairs.withColumn("separation", F.lit(None).cast("double"))
 
 
@@ -76,26 +92,39 @@ def crossmatch_night(
 
     `pixels` is the child table of the notices' sky maps. Pairs are refined and valued before they are
     de-duplicated, so that an object is kept when any of its alerts is associated.
+
+    A pair carries an id of its very notice, since several versions that arrive after their trigger's window are all
+    `initial`; the survivors' columns are joined on that id. An alert that is stored twice is taken out at the end.
     """
     s = settings
     prepared = prepare_alerts(alerts, s)
     narrow = narrow_alerts(prepared)
-    circles = circle_notices(notices, s.observatories).select(*NOTICE_COLUMNS)
-    pairs = crossmatch(narrow, circles, s.cover_factor, s.tiers).withColumn("density", F.lit(None).cast("double"))
+    # equal in all that a match shows: the same notice
+    notices = notices.withColumn("__notice", F.xxhash64(*[f"`{c}`" for c in KEYED if c in notices.columns]))
+    circles = circle_notices(notices, s.observatories).select(*PAIR_COLUMNS, "gcn_ra", "gcn_dec")
+    pairs = crossmatch(narrow, circles, s.cover_factor, s.tiers, max_delay=s.max_delay)
+    pairs = pairs.drop("gcn_ra", "gcn_dec").withColumn("density", F.lit(None).cast("double"))
     if pixels is not None:
-        pairs = pairs.unionByName(map_pairs(narrow, notices, pixels, s))
+        pairs = pairs.unionByName(map_pairs(narrow, notices.select(*PAIR_COLUMNS), pixels, s))
     delay = F.col("jd_first_real_det") - F.col("triggerTimejd")
     value = p_assoc(delay, F.col("separation"), F.col("density"), s.year_conversion, s.observatories)
     valued = keep_associated(pairs.withColumn("p_assoc", value))
-    # six columns go through the de-duplication; all others join its survivors by key
-    matches = dedup_matches(valued.select("objectId", "candid", "jd", "triggerId", "gcn_status", "p_assoc")).drop("jd")
+    # few columns go through the de-duplication; all others join its survivors by key
+    key = ("objectId", "triggerId", "gcn_status")
+    few = valued.select(*key, "candid", "jd", "p_assoc", "ackTime", "__notice")
+    matches = dedup_matches(few, key, ("jd", "candid", "ackTime", "__notice")).drop("jd", "ackTime", "triggerId", "gcn_status")
     wide = prepared.drop("objectId").withColumn("candid", F.col("candidate.candid"))
     if s.histories:
         wide = history_concat(wide)
     matches = matches.join(wide, "candid")
-    details = notices.withColumnsRenamed({"ra": "gcn_ra", "dec": "gcn_dec"}).select(*NOTICE_COLUMNS)
-    key = ["triggerId", "gcn_status"]
-    matches = skew_join(matches, details, key, ["candid"], small_rows=total(details, F.lit(1)))
-    if with_raw:
-        matches = reattach_raw(matches, notices)
+    details = notices.withColumnsRenamed({"ra": "gcn_ra", "dec": "gcn_dec"})
+    shown = [*NOTICE_COLUMNS, *(["raw_event"] if with_raw else [])]
+    # names of their own until joined: the pairs come from the same columns, and the optimiser must not mix the two up
+    details = details.select("__notice", *[F.col(c).alias(f"__of_{c}") for c in shown]).dropDuplicates(["__notice"])
+    size = total(notices, F.octet_length("raw_event").cast("bigint") + ROW_BYTES) if with_raw else total(notices, F.lit(ROW_BYTES))
+    rows = 0 if size <= BROADCAST_BYTES else None
+    matches = skew_join(matches, details, ["__notice"], ["candid"], small_rows=rows).drop("__notice")
+    matches = matches.withColumnsRenamed({f"__of_{c}": c for c in shown})
+    # the same alert may be stored twice: its rows are equal, one of them stays
+    matches = dedup_matches(matches, key, ("candid",))
     return partition_cols(match_projection(classify(matches, s.class_rules)))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# a side is broadcast only when its row count is proven to stay below this
+# a side is broadcast only when its row count, and its rows times their width, are proven to stay below these
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 256 << 20
 # a key with more rows than this on the big side of a shuffled join is split
 ROWS_PER_SALT = 2_000_000
 # an ordered group with more rows than this is not given to a single task
@@ -30,6 +31,15 @@ def computed_once(df: DataFrame, *columns: str) -> DataFrame:
     return once.select(*rest, "__once.*")
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """A row's size: texts as long as they are, every other column as a few numbers."""
+    widths = [
+        F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) + 16 if f.dataType.typeName() in ("string", "binary") else F.lit(32)
+        for f in df.schema
+    ]
+    return sum(widths, F.lit(16)).cast("bigint")
+
+
 def total(df: DataFrame, rows: Column) -> int:
     """Sum of a per-row bound over a table: one aggregate, one number to the driver."""
     return df.agg(F.coalesce(F.sum(rows), F.lit(0)).cast("bigint").alias("n")).first()["n"]
@@ -97,7 +107,7 @@ def _rank_among(value: Column, cuts: list) -> Column:
 
 def running_sum(
     df: DataFrame, group: list[str], order: str, tie: str, measure: Column, name: str,
-    rows_per_task: int = ROWS_PER_TASK, slices: int = 32,
+    rows_per_task: int = ROWS_PER_TASK, slices: int | None = None,
 ) -> DataFrame:
     """`sum(measure)` over each group in (order, tie) order, current row included, for groups of any size.
 
@@ -112,10 +122,13 @@ def running_sum(
         return part.withColumn(name, F.sum("__m").over(w)).drop("__m")
 
     # at most rows / rows_per_task groups
-    large = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows_per_task).select(*group)
-    if large.isEmpty():
+    large = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows_per_task)
+    most = large.agg(F.max("n")).first()[0]
+    if most is None:
         return whole(df)
-    large = F.broadcast(large)
+    # so many that a slice of the largest group is about half of what a task holds
+    slices = max(8, -(-2 * most // rows_per_task)) if slices is None else slices
+    large = F.broadcast(large.select(*group))
     return whole(df.join(large, group, "left_anti")).unionByName(
         _sliced_sum(df.join(large, group, "left_semi"), group, order, tie, name, slices)
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,7 +42,8 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder for written intermediates, below the cluster's `spark.checkpoint.dir`.
 
-    A local master without that setting (tests) gets a temporary folder; a cluster without it is an error,
+    What is written there is read lazily, so it stays until the folder is cleaned. A local master without that setting
+    (tests) gets a temporary folder, removed when the process ends; a cluster without it is an error,
     because a machine-local folder would not be seen by the other executors.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -50,4 +53,6 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         return f"{root.rstrip('/')}/{purpose}-{token}-{stamp}"
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix=f"skyherald-{purpose}-")
+    path = tempfile.mkdtemp(prefix=f"skyherald-{purpose}-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path

@@ -13,7 +13,7 @@ from skyherald.session import build_session  # noqa: E402
 def spark():
     s = build_session(
         "tests", "local[4]",
-        **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "4"},
+        **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"},
     )
     s.sparkContext.setLogLevel("OFF")
     yield s

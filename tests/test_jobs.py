@@ -1,17 +1,24 @@
 """The three jobs, end to end over files; the streamed forms against the batch forms."""
 
+import base64
+import dataclasses
+import gzip
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from skyherald.jobs import ingest
-from skyherald.jobs.crossmatch import online_matches
+from skyherald.jobs.crossmatch import online_matches, online_sink
 from skyherald.operators.grade import grade_flags, schema_differences, distribution_projection
 from skyherald.operators import notices as nt
 from skyherald.plans.crossmatch import crossmatch_night
 from skyherald.schemas import DISTRIBUTION, GRADES, MATCH as MATCH_SCHEMA
-from skyherald.sinks.tables import stream_partitioned, write_partitioned
+from skyherald.sinks.tables import write_partitioned
+from skyherald.sources.tables import require_notice
+from skyherald.streaming.crossmatch import first_matches_sink
 from skyherald.streaming.run import bounded_run
+from skyherald.streaming.status import numbered_sink
 from skyherald.jobs.config import load
 from workload import derive as dv
 from workload.settings import CLASS_RULES, GRADES as RULES, MATCH
@@ -20,10 +27,8 @@ from workload.settings import CLASS_RULES, GRADES as RULES, MATCH
 def test_ingest_job(spark, sf, tmp_path):
     dv.raw_notices(spark, sf).write.parquet(str(tmp_path / "raw"))
     raw = spark.readStream.schema("topic string, value string, timestamp timestamp").parquet(str(tmp_path / "raw"))
-    parsed = nt.parse_notices(raw)
-    numbered = ingest.notice_status_stream(nt.notice_row(parsed, with_skymap=True), 7)
     query = (
-        numbered.writeStream.foreachBatch(ingest.store_batch(str(tmp_path))).trigger(availableNow=True)
+        raw.writeStream.foreachBatch(ingest.store_batch(str(tmp_path))).trigger(availableNow=True)
         .option("checkpointLocation", str(tmp_path / "log")).start()
     )
     bounded_run(query, 120)
@@ -35,6 +40,75 @@ def test_ingest_job(spark, sf, tmp_path):
     maps = spark.read.parquet(str(tmp_path / "skymaps"))
     want = batch.filter("observatory = 'LVK' and event_type = 'alert'").count()
     assert maps.select("triggerId").distinct().count() == want > 0
+    assert stored.filter(F.col("raw_event").contains("skymap")).count() == 0
+    bad = nt.dead_letter(nt.parse_notices(dv.raw_notices(spark, sf)))
+    assert spark.read.parquet(str(tmp_path / "dead_letters")).count() == bad.count()
+
+
+def run_batches(spark, frames, sink, tmp_path):
+    for f in frames:
+        f.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(frames[0].schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = stream.writeStream.foreachBatch(sink).option("checkpointLocation", str(tmp_path / "log")).trigger(availableNow=True)
+    bounded_run(query.start(), 120)
+
+
+def test_numbering_over_batches_loses_nothing(spark, tmp_path):
+    """Old beside new, a stale notice, more rows than an Arrow batch: numbers follow the order of arrival."""
+    day = lambda d, h: f"2024-01-{d:02d} {h:02d}:00:00"
+    jd = lambda d: 2460310.5 + d - 1
+    frame = lambda rows: spark.createDataFrame(rows, "triggerId string, ack string, triggerTimejd double, n int").selectExpr(
+        "triggerId", "timestamp(ack) as ackTime", "triggerTimejd", "n", "'2024' as year", "'01' as month", "'02' as day")
+    batches = [
+        [("a", day(2, 5), jd(2), 1), ("a", day(2, 3), jd(2), 0), ("b", day(2, 4), jd(2), 0)],
+        [("a", day(2, 9), jd(2), 2), ("a", day(20, 9), jd(2), 90)],
+        # three hours older than what came before, and a second stale one
+        [("a", day(2, 6), jd(2), 3), ("a", day(21, 9), jd(2), 91), ("b", day(2, 6), jd(2), 1)],
+        [("a", day(2, 10 + i), jd(2), 4 + i) for i in range(6)],
+    ]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        run_batches(spark, [frame(b) for b in batches], numbered_sink(str(tmp_path / "out")), tmp_path)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert len(rows) == sum(map(len, batches))
+    for r in rows:
+        want = "initial" if r["n"] in (0, 90, 91) else f"update_{r['n'] - 1}"
+        assert r["gcn_status"] == want, r
+
+
+def test_first_match_per_key_over_days(spark, tmp_path):
+    """A key seen on days 0, 2, 4 and 6 counts once, however the batches fall."""
+    frame = lambda d: spark.sql(
+        f"select 'o' objectId, 't' triggerId, 'initial' gcn_status, {d}.5D jd, {d}L candid, '2024' year, '01' month, '{d:02d}' day")
+    run_batches(spark, [frame(d) for d in (1, 3, 5, 7)], first_matches_sink(str(tmp_path / "out"), 7), tmp_path)
+    assert [r["candid"] for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [1]
+
+
+def test_damaged_maps_are_dead_letters(spark, sf):
+    raw = dv.raw_notices(spark, sf).filter("topic = 'igwn.gwalert'")
+    good = nt.parse_notices(raw).filter("reason is null and event_type = 'alert'").select("value").limit(4).collect()
+    values = []
+    for i, r in enumerate(good):
+        event = json.loads(r["value"])
+        packed = base64.b64encode(gzip.compress(base64.b64decode(event["event"]["skymap"]))).decode()
+        event["event"]["skymap"] = [packed, packed[: len(packed) // 2 // 4 * 4], "AAAA", "%%%"][i]
+        values.append(("igwn.gwalert", json.dumps(event)))
+    parsed = nt.parse_notices(spark.createDataFrame(values, "topic string, value string")).persist()
+    assert [r["reason"] for r in nt.dead_letter(parsed).collect()] == ["unreadable sky map"] * 3
+    (row,) = nt.notice_row(parsed).collect()
+    assert row["ra"] is not None and "skymap" not in row["raw_event"] and json.loads(row["raw_event"])["event"]["time"]
+
+
+def test_bounded_run_stops_and_require_notice_fails(spark, sf, tmp_path):
+    dv.notices(spark, sf).write.parquet(str(tmp_path / "n"))
+    stream = spark.readStream.schema(dv.notices(spark, sf).schema).parquet(str(tmp_path / "n"))
+    query = stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "log")).start()
+    bounded_run(query, 2)
+    assert not query.isActive
+    with pytest.raises(LookupError):
+        require_notice(dv.notices(spark, sf), "20240115", "no such trigger", "initial")
 
 
 def wide_alerts(spark, sf):
@@ -63,10 +137,12 @@ def test_online_equals_batch_within_the_window(spark, sf, tmp_path):
     a = spark.readStream.schema(alerts.schema).parquet(str(tmp_path / "a"))
     n = spark.readStream.schema(notices.schema).parquet(str(tmp_path / "n"))
     online = online_matches(a, n, MATCH, "60 days")
-    bounded_run(stream_partitioned(online, str(tmp_path / "o"), str(tmp_path / "log"), interval=None))
+    sink = online_sink(str(tmp_path / "o"), lambda s: s.read.parquet(str(tmp_path / "n")), MATCH, 60)
+    query = online.writeStream.foreachBatch(sink).option("checkpointLocation", str(tmp_path / "log"))
+    bounded_run(query.trigger(availableNow=True).start())
     key = ["objectId", "triggerId"]
     got = spark.read.parquet(str(tmp_path / "o")).select(*key)
-    want = crossmatch_night(alerts, notices, MATCH, with_raw=False).select(*key)
+    want = crossmatch_night(alerts, notices, dataclasses.replace(MATCH, max_delay=60.0), with_raw=False).select(*key)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0 and want.count() > 0
 
 

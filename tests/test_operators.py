@@ -126,7 +126,7 @@ def test_partial_maps_answer_with_the_preceding_pixel(spark):
         assert r["density"] == pytest.approx(want * (np.pi / 180) ** 2)
 
 
-def brute_force(spark, sf, factor=1.5):
+def brute_force(spark, sf, factor=1.5, max_delay=None):
     a, n = dv.alerts(spark, sf).toPandas(), dv.notices(spark, sf).toPandas()
 
     def unit(ra, dec):
@@ -135,17 +135,21 @@ def brute_force(spark, sf, factor=1.5):
 
     chord = np.linalg.norm(unit(a.ztf_ra, a.ztf_dec)[:, None] - unit(n.ra, n.dec)[None], axis=2)
     near = np.degrees(2 * np.arcsin(np.clip(chord / 2, 0, 1))) * 60 <= factor * n.err_arcmin.to_numpy()[None]
+    if max_delay is not None:
+        near &= a.jd.to_numpy()[:, None] <= n.triggerTimejd.to_numpy()[None] + max_delay
     i, j = np.nonzero(near & (a.jdstarthist.to_numpy()[:, None] > n.triggerTimejd.to_numpy()[None]))
     return set(zip(a.candid.to_numpy()[i].tolist(), n.trigger_no.to_numpy()[j].tolist()))
 
 
 @pytest.mark.parametrize("kw", [
-    {}, {"tiers": ((1, None),)}, {"tiers": ((16, 5.0), (4, None))}, {"broadcast_rows": 0},
+    {}, {"tiers": ((1, None),)}, {"tiers": ((16, 5.0), (4, None))}, {"broadcast_rows": 0}, {"max_delay": 7.0},
+    {"max_delay": 0.5, "broadcast_rows": 0},
 ])
 def test_cell_join_equals_brute_force(spark, sf, kw):
+    kw = {"max_delay": None, **kw}
     pairs = mt.crossmatch(dv.alerts(spark, sf), mt.circle_notices(dv.notices(spark, sf)), **kw)
     got = [(r["candid"], r["trigger_no"]) for r in pairs.select("candid", "trigger_no").collect()]
-    assert len(got) == len(set(got)) and set(got) == brute_force(spark, sf)
+    assert len(got) == len(set(got)) and set(got) == brute_force(spark, sf, max_delay=kw["max_delay"])
 
 
 def test_skew_join_salts_hot_keys(spark):

@@ -49,7 +49,8 @@ def sep_deg(ra1: str, dec1: str, ra2: str, dec2: str) -> str:
 
 
 PAIRS = f"""(select a.*, n.*, {sep_deg('a.ztf_ra', 'a.ztf_dec', 'n.ra', 'n.dec')} as sep
-  from {ALERTS} a join {NOTICES} n on a.jdstarthist > n.trigger_jd)"""
+  from {ALERTS} a join {NOTICES} n on a.jdstarthist > n.trigger_jd
+  and a.jd <= n.trigger_jd + 7::double)"""
 
 
 # --- HEALPix ---------------------------------------------------------------------------------------------------
@@ -140,6 +141,7 @@ def with_nest_centre(src: str) -> str:
         "(select *, (inn & 1) + ((inn // 4) & 1) * 2 + ((inn // 16) & 1) * 4 as nx,"
         " ((inn // 2) & 1) + ((inn // 8) & 1) * 2 + ((inn // 32) & 1) * 4 as ny from " + s1 + ")"
     )
+    # fixed values: ring and longitude offsets of the twelve base cells
     s3 = (
         "(select *, ([2,2,2,2,3,3,3,3,4,4,4,4])[face + 1] * side - nx - ny - 1 as jr,"
         " ([1,3,5,7,0,2,4,6,1,3,5,7])[face + 1] as jpl from " + s2 + ")"

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,15 +20,17 @@ from skyherald.operators import skymap as sm
 from skyherald.operators.validate import ALERT_RULES, NOTICE_RULES, validate
 from skyherald.plans.sizing import computed_once
 from skyherald.plans.crossmatch import crossmatch_night
+from skyherald.schemas import DISTRIBUTION
 from skyherald.schemas import GRADES as GRADE_NAMES
 from skyherald.session import shared_dir
 from skyherald.sinks.tables import stream_partitioned, write_partitioned
 from skyherald.sources.tables import (
     alerts_batch, alerts_stream, lookup_notice, matches_stream, notices_batch, notices_stream, raw_notices_files,
 )
-from skyherald.streaming.crossmatch import crossmatch_stream, dedup_stream
+from skyherald.jobs.crossmatch import online_matches, online_sink
+from skyherald.streaming.crossmatch import crossmatch_stream, first_matches_sink, skymap_stream
 from skyherald.streaming.run import ProgressLog, bounded_run
-from skyherald.streaming.status import notice_status_stream
+from skyherald.streaming.status import numbered_sink
 from skyherald.streaming.topics import stream_topics as topics_query
 from workload import derive as dv
 from workload import oracle as sq
@@ -74,7 +76,7 @@ _ALERT_CELLS = sq.with_ring(sq.with_point(sq.ALERTS, "ztf_ra", "ztf_dec"), NSIDE
 @query(f"""select candid, trigger_no from (select a.candid, n.trigger_no, n.err_arcmin,
     {sq.sep_deg('a.ztf_ra', 'a.ztf_dec', 'n.ra', 'n.dec')} as sep
   from {_ALERT_CELLS} a join {_COVER} k using (hpix) join {sq.NOTICES} n using (trigger_no)
-  where a.jdstarthist > n.trigger_jd) where sep * 60 <= 1.5::double * err_arcmin""")
+  where a.jdstarthist > n.trigger_jd and a.jd <= n.trigger_jd + 7::double) where sep * 60 <= 1.5::double * err_arcmin""")
 def crossmatch_reference_cover(spark, sf):
     pairs = _pairs(spark, sf, cover_factor=1.0, tiers=rg.REFERENCE_TIER)
     return pairs.select("candid", "trigger_no")
@@ -83,7 +85,7 @@ def crossmatch_reference_cover(spark, sf):
 @query(f"""select candid, trigger_no from (select a.candid, n.trigger_no, n.err_arcmin,
     {sq.sep_deg('a.ztf_ra', 'a.ztf_dec', 'n.ra', 'n.dec')} as sep
   from {_ALERT_CELLS} a join {_COVER} k using (hpix) join {sq.NOTICES} n using (trigger_no)
-  where a.jdstarthist > n.trigger_jd) where sep * 60 <= err_arcmin""")
+  where a.jdstarthist > n.trigger_jd and a.jd <= n.trigger_jd + 7::double) where sep * 60 <= err_arcmin""")
 def cone_match(spark, sf):
     """The cell join alone, refined afterwards."""
     pairs = _pairs(spark, sf, cover_factor=1.0, tiers=rg.REFERENCE_TIER, cone_factor=None)
@@ -653,8 +655,14 @@ def _density_sql(points: str, keep: str) -> str:
 
 @query(f"""select "triggerId", k, round(density, 9) as density from {_density_sql(sq.with_point(_POINTS, 'ra', 'dec'), 'q."triggerId", k')}""")
 def skymap_density_at(spark, sf):
+    d = sm.skymap_density_at(_map_points(spark, sf), dv.skymap_pixels(spark, sf))
+    return d.select("triggerId", "k", rnd("density", 9).alias("density"))
+
+
+def _map_points(spark, sf) -> DataFrame:
+    """Three points per map notice."""
     k = F.col("k")
-    points = (
+    return (
         dv.map_notices(spark, sf).drop("pixels").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(2))))
         .select(
             "triggerId", "gcn_status", k.cast("bigint").alias("k"),
@@ -664,13 +672,37 @@ def skymap_density_at(spark, sf):
             )).alias("dec"),
         )
     )
-    d = sm.skymap_density_at(points, dv.skymap_pixels(spark, sf))
+
+
+_HOLED = f"(select * from {sq.PIXELS} where row_idx % 5 <> 0)"
+
+
+def _holed_pixels(spark, sf) -> DataFrame:
+    """Maps with a fifth of their pixels missing, completed as ingestion stores them."""
+    return sm.complete_skymap(dv.skymap_pixels(spark, sf).filter(F.col("row_idx") % 5 != 0))
+
+
+@query(f"""select "triggerId", row_idx, uniq, round(cumprob, 9) as cumprob from (select *, sum(area_sr * probdensity) over
+  (partition by event_id order by probdensity desc, row_idx rows unbounded preceding) as cumprob from {_HOLED}) where cumprob < 0.6::double""")
+def credible_region_gaps(spark, sf):
+    """The region of a partial map is that of its own pixels, not of what fills its gaps."""
+    region = sm.credible_region(_holed_pixels(spark, sf), 0.6)
+    return region.select("triggerId", "row_idx", "uniq", rnd("cumprob", 9).alias("cumprob"))
+
+
+@query(f"""select "triggerId", k, round(coalesce(arg_max(d, start) filter (where start <= n3), arg_max(d, start)), 9) as density from
+  (select q."triggerId", q.k, q.n3, p.probdensity * pow(pi() / 180, 2) as d, p.ipix * (1::bigint << (2 * (3 - p.level))) as start
+   from {sq.with_nest(sq.with_point(_POINTS, 'ra', 'dec'), 3, 'n3')} q join {_HOLED} p on p."triggerId" = q."triggerId")
+  group by "triggerId", k""")
+def skymap_density_gaps(spark, sf):
+    """In a gap a point has the density of the pixel before it, before the first pixel that of the last."""
+    d = sm.skymap_density_at(_map_points(spark, sf), _holed_pixels(spark, sf))
     return d.select("triggerId", "k", rnd("density", 9).alias("density"))
 
 
 _GW_PAIRS = f"""(select a.*, k."triggerId" from {_ALERT_CELLS} a join {_MAP_CELLS} k using (hpix)
   join (select 'S' || event_id as "triggerId", {sq.JD} as trigger_jd from events where event_type = 'error') n using ("triggerId")
-  where a.jdstarthist > n.trigger_jd)"""
+  where a.jdstarthist > n.trigger_jd and a.jd <= n.trigger_jd + 7::double)"""
 
 
 @query(f"""select candid, "triggerId", round(density, 9) as p_assoc from {_density_sql(
@@ -680,7 +712,7 @@ def assoc_gw(spark, sf):
     pixels = dv.skymap_pixels(spark, sf)
     cells = sm.skymap_cells(sm.credible_region(pixels), NSIDE)
     notices = dv.map_notices(spark, sf).select("triggerId", "gcn_status", "observatory", "triggerTimejd")
-    pairs = sm.skymap_match(dv.alerts(spark, sf), pixels, cells, notices, NSIDE)
+    pairs = sm.skymap_match(dv.alerts(spark, sf), pixels, cells, notices, NSIDE, max_delay=mt.MAX_DELAY)
     value = mt.p_assoc(F.lit(0.0), F.lit(0.0), F.col("density"))
     pairs = pairs.withColumn("region_arcmin", F.lit(None).cast("double")).withColumn("p_assoc", value)
     return pairs.select("candid", "triggerId", rnd("p_assoc", 9).alias("p_assoc"))
@@ -725,6 +757,19 @@ def offline_join(spark, sf):
     )
 
 
+@query(SQL["offline_join"])
+def offline_join_versions(spark, sf):
+    """The same with every notice repeated as a later `initial` and every alert stored twice: one row per key all the same."""
+    table = dv.notice_table(spark, sf)
+    later = table.withColumns({"ackTime": F.col("ackTime") + F.expr("interval 10 days"), "raw_event": F.concat("raw_event", F.lit(" later"))})
+    packets = dv.alert_packets(spark, sf)
+    found = crossmatch_night(packets.unionByName(packets), table.unionByName(later), MATCH, dv.skymap_pixels(spark, sf))
+    return found.select(
+        "objectId", "candid", "triggerId", "observatory", rnd("p_assoc", 9).alias("p_assoc"), rnd("ztf_ra").alias("ztf_ra"),
+        "gcn_loc_error", "rb", "alert_class", "raw_event", "day",
+    )
+
+
 @query(f"""select oid as "objectId", "triggerId", {_BRONZE} and {_IS_GRB} as is_grb_bronze, {_SILVER} as is_grb_silver,
   coalesce({_GOLD}, false) as is_grb_gold, {_BRONZE} and observatory = 'LVK' as is_gw_bronze from {_MATCHES}""")
 def grade_flags(spark, sf):
@@ -778,6 +823,15 @@ def distribution_projection(spark, sf):
     )
 
 
+@query("""select (1 + event_id % 2)::int as fid, count(*) as records, 0::bigint as wrong_types from events
+  where event_type <> 'error' group by 1""")
+def distribution_schema(spark, sf):
+    """Records per band, and how many of the projected columns depart from the contract in type."""
+    d = gr.distribution_projection(_records(spark, sf))
+    wrong = [x for x in gr.schema_differences(d, DISTRIBUTION) if " is " in x]
+    return d.groupBy("fid").agg(F.count("*").alias("records"), F.lit(len(wrong)).cast("bigint").alias("wrong_types"))
+
+
 @query(f"""select event_id as candid, json as body from (select event_id, '{{"candid":' || event_id || ',"fid":' || (1 + event_id % 2) || ',"cdsxmatch":"'
   || {_XMATCH} || '"}}' as json from events where event_type <> 'error')""")
 def topic_payload(spark, sf):
@@ -833,10 +887,23 @@ def src_alerts_stream(spark, sf):
     return _drain(spark, stream).select("candid")
 
 
+@contextmanager
+def _as_many_states_as_cores(spark):
+    """Stateful operators keep a store per shuffle partition and batch; inputs of this size need no more than cores."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(int(before), spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _drain(spark, stream: DataFrame) -> DataFrame:
     """Run a stream over what is there, into partitioned files, and read these back."""
     out, log = shared_dir(spark, "stream-out"), shared_dir(spark, "stream-log")
-    bounded_run(stream_partitioned(stream, out, log, interval=None))
+    with _as_many_states_as_cores(spark):
+        bounded_run(stream_partitioned(stream, out, log, interval=None))
     return spark.read.schema(stream.schema).parquet(out)
 
 
@@ -867,11 +934,14 @@ def src_notices_stream(spark, sf):
     return _notice_view(_drain(spark, notices_stream(spark, path, rows.schema)))
 
 
-@query(_NIGHT_SQL)
+@query(f"""select oid as "objectId", "triggerId", observatory, '2024' as year, '01' as month, '15' as day from {_MATCHES}
+  where strftime(ts, '%Y%m%d') = '{dv.NIGHT}'""")
 def src_matches_stream(spark, sf):
-    packets, path = _alert_files(spark, sf)
-    stream = matches_stream(spark, path, dv.NIGHT, packets.schema).select("candid", "year", "month", "day")
-    return _drain(spark, stream)
+    """Writes the matches, then streams those of one night."""
+    matches, path = _night(spark, sf, with_raw=False), shared_dir(spark, "all-matches")
+    write_partitioned(matches, path)
+    stream = matches_stream(spark, path, dv.NIGHT, matches.schema)
+    return _drain(spark, stream.select("objectId", "triggerId", "observatory", "year", "month", "day"))
 
 
 def _raw_files(spark, sf) -> str:
@@ -908,11 +978,24 @@ def sink_matches_batch(spark, sf):
     return spark.read.schema(graded.schema).parquet(path).select("objectId", "triggerId", "is_grb_bronze", "day")
 
 
+def _in_turn(spark, rows: DataFrame, part: Column, parts: int, name: str) -> DataFrame:
+    """A stream of rows in `parts` files, one per micro-batch, in the order of `part`."""
+    path = shared_dir(spark, name)
+    for k in range(parts):
+        rows.filter(part == k).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _quarter(rows: DataFrame, at: str) -> Column:
+    """Quarter 0 to 3 of the time that a table spans."""
+    seconds = F.unix_seconds(F.col(at))
+    lo, hi = rows.agg(F.min(seconds), F.max(seconds)).first()
+    return F.least(F.floor((seconds - F.lit(lo)) * 4 / F.lit(max(1, hi - lo))), F.lit(3))
+
+
 def _streamed_alerts(spark, sf) -> DataFrame:
     rows = dv.alerts(spark, sf).withColumn("alert_ts", from_jd(F.col("jd")))
-    path = shared_dir(spark, "narrow-alerts")
-    rows.write.parquet(path)
-    return spark.readStream.schema(rows.schema).parquet(path)
+    return _in_turn(spark, rows, _quarter(rows, "alert_ts"), 4, "narrow-alerts")
 
 
 def _streamed_notices(spark, sf) -> DataFrame:
@@ -920,9 +1003,14 @@ def _streamed_notices(spark, sf) -> DataFrame:
         "trigger_no", "triggerId", "gcn_status", "observatory", "gcn_ra", "gcn_dec", "region_arcmin", "triggerTimejd",
         F.col("ackTime").alias("trigger_ts"),
     )
-    path = shared_dir(spark, "narrow-notices")
-    rows.write.parquet(path)
-    return spark.readStream.schema(rows.schema).parquet(path)
+    return _in_turn(spark, rows, _quarter(rows, "trigger_ts"), 4, "narrow-notices")
+
+
+def _run_batches(stream: DataFrame, sink, spark) -> None:
+    """Run a foreachBatch function over all micro-batches of what is there."""
+    writer = stream.writeStream.foreachBatch(sink).option("checkpointLocation", shared_dir(spark, "batch-log"))
+    with _as_many_states_as_cores(spark):
+        bounded_run(writer.trigger(availableNow=True).start())
 
 
 @query(f"""select candid, trigger_no from {sq.PAIRS} where sep * 60 <= 1.5::double * err_arcmin and jd <= trigger_jd + 7""")
@@ -933,22 +1021,58 @@ def stream_crossmatch(spark, sf):
     return _drain(spark, pairs.select("candid", "trigger_no", "alert_ts").withColumns(day)).select("candid", "trigger_no")
 
 
+def _streamed_regions(spark, sf) -> DataFrame:
+    pixels = dv.skymap_pixels(spark, sf)
+    cells = sm.skymap_cells(sm.credible_region(pixels), NSIDE)
+    times = dv.map_notices(spark, sf).select("triggerId", "gcn_status", "observatory", "triggerTimejd", F.col("ts").alias("ackTime"))
+    rows = sm.region_pixels(pixels, cells, NSIDE).join(times, ["triggerId", "gcn_status"])
+    rows = rows.withColumn("trigger_ts", F.col("ackTime"))
+    return _in_turn(spark, rows, _quarter(rows, "trigger_ts"), 4, "regions")
+
+
+@query(SQL["assoc_gw"])
+def stream_assoc_gw(spark, sf):
+    """Streamed alerts with streamed sky maps, over several micro-batches."""
+    regions = _streamed_regions(spark, sf).drop("observatory", "ackTime")
+    pairs = skymap_stream(_streamed_alerts(spark, sf), regions, levels=(2, 3), salts=2)
+    day = {n: F.date_format("alert_ts", p) for n, p in (("year", "yyyy"), ("month", "MM"), ("day", "dd"))}
+    found = _drain(spark, pairs.select("candid", "triggerId", "density", "alert_ts").withColumns(day))
+    return found.select("candid", "triggerId", rnd("density", 9).alias("p_assoc"))
+
+
+@query(f"""select oid as "objectId", candid, "triggerId", observatory, round(p_assoc, 9) as p_assoc, alert_class from {_MATCHES}""")
+def online_join(spark, sf):
+    """The streamed cross-match with both kinds of notices, over several micro-batches: the batch form's result."""
+    packets = dv.alert_packets(spark, sf).withColumn("at", from_jd(F.col("candidate.jd")))
+    alerts = _in_turn(spark, packets, _quarter(packets, "at"), 4, "packets").drop("at")
+    table = dv.notice_table(spark, sf)
+    notices = _in_turn(spark, table, _quarter(table, "ackTime"), 4, "both-notices")
+    stored, out = shared_dir(spark, "notice-table"), shared_dir(spark, "online")
+    table.write.parquet(stored)
+    pairs = online_matches(alerts, notices, MATCH, "7 days", regions=_streamed_regions(spark, sf).drop("trigger_ts"))
+    _run_batches(pairs, online_sink(out, lambda s: s.read.parquet(stored), MATCH, mt.MAX_DELAY), spark)
+    found = spark.read.parquet(out)
+    return found.select("objectId", "candid", "triggerId", "observatory", rnd("p_assoc", 9).alias("p_assoc"), "alert_class")
+
+
 @query(f"""select distinct "objectId", "triggerId" from {sq.PAIRS} where sep * 60 <= 1.5::double * err_arcmin and jd <= trigger_jd + 7""")
 def sink_matches_stream(spark, sf):
-    """Stream-stream join, first arrival per object and notice, into day partitions."""
+    """Stream-stream join in several micro-batches, first arrival per object and notice, into day partitions."""
     pairs = crossmatch_stream(_streamed_alerts(spark, sf), _streamed_notices(spark, sf), tiers=rg.REFERENCE_TIER, salts=2)
-    first = dedup_stream(pairs).select("objectId", "triggerId", F.col("alert_ts").alias("timestamp"))
-    return _drain(spark, partition_cols(first)).select("objectId", "triggerId")
+    rows = pairs.select("objectId", "triggerId", "gcn_status", "jd", "candid", F.col("alert_ts").alias("timestamp"))
+    out = shared_dir(spark, "first-matches")
+    _run_batches(partition_cols(rows), first_matches_sink(out, mt.MAX_DELAY), spark)
+    return spark.read.parquet(out).select("objectId", "triggerId")
 
 
-@query(SQL["notice_status"])
+@query(f"""select event_id, "triggerId", gcn_status from {_VERSIONS}""".replace("order by ts, event_id", "order by day(ts) % 4, ts, event_id"))
 def stream_notice_status(spark, sf):
-    """Update numbers from keyed state, over files that arrive in order of time."""
+    """Update numbers in order of arrival over several micro-batches, each with notices older than those before."""
     rows = dv.notice_versions(spark, sf).drop("raw_event")
-    path = shared_dir(spark, "versions")
-    rows.write.parquet(path)
-    stream = notice_status_stream(spark.readStream.schema(rows.schema).parquet(path), order=("event_id",))
-    return _drain(spark, stream).select("event_id", "triggerId", "gcn_status")
+    stream = _in_turn(spark, rows, F.dayofmonth("ackTime") % 4, 4, "versions")
+    out = shared_dir(spark, "numbered")
+    _run_batches(stream, numbered_sink(out, tie=F.col("event_id")), spark)
+    return spark.read.parquet(out).select("event_id", "triggerId", "gcn_status")
 
 
 @query(SQL["grade_split"])
@@ -963,18 +1087,18 @@ def stream_topics(spark, sf):
     return sent.select("topic", F.get_json_object("value", "$.objectId").alias("objectId"), F.get_json_object("value", "$.triggerId").alias("triggerId"))
 
 
-@query()
+@query("select count(*)::bigint as input_rows, true as all_batches from events where event_type <> 'error'")
 def progress_log(spark, sf):
-    """Metrics table of a streaming run (rows only: times differ from run to run)."""
+    """Metrics table of a streaming run: the rows its micro-batches read, and whether batches are numbered without gap."""
     packets, path = _alert_files(spark, sf)
     table = shared_dir(spark, "progress")
     listener = ProgressLog(spark, table)
     spark.streams.addListener(listener)
     try:
         _drain(spark, alerts_stream(spark, path, packets.schema).select("candid", "year", "month", "day"))
-        deadline = time.monotonic() + 20
-        while not listener.written and time.monotonic() < deadline:
-            time.sleep(0.2)
+        listener.ended.wait(120)
     finally:
         spark.streams.removeListener(listener)
-    return spark.read.schema(ProgressLog.FIELDS).parquet(table).select("query", "batch", "input_rows", "state_rows")
+    log = spark.read.schema(ProgressLog.FIELDS).parquet(table)
+    gapless = F.count_distinct("batch") == F.max("batch") + 1
+    return log.agg(F.sum("input_rows").alias("input_rows"), gapless.alias("all_batches"))
