@@ -7,23 +7,26 @@ from pyspark.sql import functions as F
 
 from skyherald.llm.common import stored
 
+# beyond so many edges a node's may be too many for a task: minima are written before the join, so that a join of plain
+# exchanges lets adaptive execution split a node. Below, all edges fit one task.
+SPLIT_ROWS = 1_000_000
 
-def _with_least(edges: DataFrame) -> DataFrame:
-    """Edges (u, v) with m, the least v of each u; a written minimum joined back, so that a u with many
-    edges can be split by adaptive execution."""
-    least = stored(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
-    return edges.join(least, "u")
 
+def _with_least(edges: DataFrame, split: bool) -> DataFrame:
+    """Edges (u, v) with m, the least v of each u: a pre-aggregated minimum joined back."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    return edges.join(stored(least, "least") if split else least, "u")
 
-def _large_star(edges: DataFrame) -> DataFrame:
+
+def _large_star(edges: DataFrame, split: bool) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    starred = _with_least(both).withColumn("m", F.least("m", "u"))
+    starred = _with_least(both, split).withColumn("m", F.least("m", "u"))
     return starred.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, split: bool) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    starred = _with_least(down)
+    starred = _with_least(down, split)
     others = starred.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return others.unionByName(starred.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
 
@@ -40,4 +43,5 @@ def components(edges: DataFrame) -> DataFrame:
         if tuple(seen) == state or not seen[0]:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         state = tuple(seen)
-        now = stored(_small_star(_large_star(now)), "links")
+        split = seen[0] > SPLIT_ROWS
+        now = stored(_small_star(_large_star(now, split), split), "links")

@@ -6,9 +6,9 @@ embeddings is a lower bound of the fingerprints' distance. The embedding is cut
 that some block of a linked pair is at most 1 apart; a block's values are a cell of a grid, and a range join pairs each
 cell with itself and the neighbours 1 away. Candidates meet the lower bound over all segments, then the exact distance.
 
-Only distinct fingerprints are joined, so copies are never paired. Before the pairwise join, stars link each fingerprint
-to the hubs of its cells (those with most copies) where they are near; the join then only keeps pairs across the components
-so far, which leaves the components as they would be with all links, without all pairs of a dense group.
+Only distinct fingerprints are joined, so copies are never paired. Before the pairwise join, each fingerprint follows a hub
+of its cells (the one with most copies) where one is near; the join then only keeps links across the groups so far, as
+links of their roots, which leaves the components as they would be with all links, without all pairs of a dense group.
 """
 
 from __future__ import annotations
@@ -143,8 +143,8 @@ def _node(names: Sequence[str], prefix: str = "") -> Column:
     return F.col(prefix + names[0]) if len(names) == 1 else F.xxhash64(*[prefix + n for n in names])
 
 
-def _pairs(rooted: DataFrame, distance: int, sure: int, names: Sequence[str]) -> DataFrame:
-    """Links between fingerprints of different components so far: (u, v)."""
+def _root_links(rooted: DataFrame, distance: int, sure: int, names: Sequence[str]) -> DataFrame:
+    """Links between fingerprints of different groups so far, as distinct links of their roots: (u, v)."""
     side = lambda p, around: _cells(
         rooted.select(*[F.col(n).alias(p + n) for n in names], F.col("root").alias(p + "root")), sure,
         [p + n for n in names], around,
@@ -152,28 +152,46 @@ def _pairs(rooted: DataFrame, distance: int, sure: int, names: Sequence[str]) ->
     bound = _apart("a_", "b_", names, embedded=True) <= distance
     exact = _apart("a_", "b_", names) <= distance
     on = (F.col("a_cell") == F.col("b_cell")) & (F.col("a_root") < F.col("b_root")) & bound & exact
-    return side("a_", True).join(side("b_", False), on).select(_node(names, "a_").alias("u"), _node(names, "b_").alias("v"))
+    found = side("a_", True).join(side("b_", False), on)
+    return found.select(F.col("a_root").alias("u"), F.col("b_root").alias("v")).distinct()
 
 
-def _stars(fps: DataFrame, distance: int, sure: int, names: Sequence[str]) -> DataFrame:
-    """Links from each fingerprint to its cells' hubs (the fingerprint with most copies) within the distance."""
+def _hubs(fps: DataFrame, distance: int, sure: int, names: Sequence[str]) -> DataFrame:
+    """(node, root): each fingerprint follows the greatest hub near it, by copies, then value; hubs follow theirs.
+
+    A cell's hub is its greatest fingerprint, so the steps only go up and end. Fingerprints without a hub near are left out.
+    """
     cells = _cells(fps, sure, names, around=False)
-    hubs = stored(cells.groupBy("cell").agg(
-        F.max(F.struct("copies", *names)).alias("hub"), F.count(F.lit(1)).alias("n")
-    ).filter("n >= 2").select("cell", *[F.col(f"hub.{n}").alias(f"h_{n}") for n in names]), "hubs")
+    hubs = stored(
+        cells.groupBy("cell").agg(F.max(F.struct("copies", *names)).alias("hub"), F.count(F.lit(1)).alias("n"))
+        .filter("n >= 2").select("cell", F.col("hub.copies").alias("copies"), *[F.col(f"hub.{n}").alias(f"h_{n}") for n in names]),
+        "hubs",
+    )
     plain = cells.select("cell", *[F.col(n).alias(f"f_{n}") for n in names])
     near = plain.join(hubs, "cell").filter(_apart("f_", "h_", names) <= distance)
-    return near.select(_node(names, "f_").alias("u"), _node(names, "h_").alias("v")).filter("u <> v").distinct()
+    near = near.select(_node(names, "f_").alias("node"), _node(names, "h_").alias("hub"), "copies", *[f"h_{n}" for n in names])
+    best = F.max(F.struct("copies", *[f"h_{n}" for n in names], "hub")).alias("best")
+    steps = near.filter("node <> hub").groupBy("node").agg(best).select("node", F.col("best.hub").alias("root"))
+    while True:
+        # twice as far in each round
+        steps = stored(steps, "steps")
+        ahead = steps.select(F.col("node").alias("root"), F.col("root").alias("next"))
+        moved = steps.join(ahead, "root", "left").select("node", F.coalesce("next", "root").alias("root"), "next")
+        if moved.filter("next is not null").isEmpty():
+            return steps
+        steps = moved.drop("next")
 
 
 def fingerprint_classes(fps: DataFrame, distance: int, names: Sequence[str], sure: int | None = None) -> DataFrame:
-    """(node, root) for distinct fingerprints that link to others; root names the component."""
+    """(node, root) for the distinct fingerprints; root names the component."""
     sure = distance if sure is None else sure
-    stars = stored(_stars(fps, distance, sure, names), "stars")
-    first = components(stars)
+    first = _hubs(fps, distance, sure, names)
     rooted = fps.withColumn("node", _node(names)).join(first, "node", "left")
-    rooted = stored(rooted.select(*names, F.coalesce("root", "node").alias("root")), "rooted")
-    return components(_pairs(rooted, distance, sure, names).unionByName(stars))
+    rooted = stored(rooted.select("node", *names, F.coalesce("root", "node").alias("root")), "rooted")
+    merged = components(_root_links(rooted, distance, sure, names)).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    return rooted.select("node", "root").join(stored(merged, "merged-roots"), "root", "left").select(
+        "node", F.coalesce("top", "root").alias("root")
+    )
 
 
 def near_duplicates(
