@@ -6,9 +6,8 @@ embeddings is a lower bound of the fingerprints' distance. The embedding is cut
 that some block of a linked pair is at most 1 apart; a block's values are a cell of a grid, and a range join pairs each
 cell with itself and the neighbours 1 away. Candidates meet the lower bound over all segments, then the exact distance.
 
-Only distinct fingerprints are joined, so copies are never paired. Before the pairwise join, each fingerprint follows a hub
-of its cells (the one with most copies) where one is near; the join then only keeps links across the groups so far, as
-links of their roots, which leaves the components as they would be with all links, without all pairs of a dense group.
+Only distinct fingerprints are joined, so copies are never paired. Before the pairwise join, each fingerprint is linked to
+the near ones of its cells' few hubs; the join then only keeps links across the groups so far, as links of their roots, which leaves the components as they would be with all links, without all pairs of a dense group.
 """
 
 from __future__ import annotations
@@ -28,6 +27,7 @@ from skyherald.llm.tokens import mixed, text_slices
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _LOW_BITS = 0x5555555555555555
+HUBS = 8
 
 
 def _joined(words) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -156,36 +156,30 @@ def _root_links(rooted: DataFrame, distance: int, sure: int, names: Sequence[str
     return found.select(F.col("a_root").alias("u"), F.col("b_root").alias("v")).distinct()
 
 
-def _hubs(fps: DataFrame, distance: int, sure: int, names: Sequence[str]) -> DataFrame:
-    """(node, root): each fingerprint follows the greatest hub near it, by copies, then value; hubs follow theirs.
+def _hub_links(fps: DataFrame, distance: int, sure: int, names: Sequence[str]) -> DataFrame:
+    """Links (u, v) of fingerprints to the near ones among their cells' hubs.
 
-    A cell's hub is its greatest fingerprint, so the steps only go up and end. Fingerprints without a hub near are left out.
+    A cell has up to HUBS hubs: its fingerprints are dealt to so many classes, and the one with most copies of each class
+    is a hub. In a dense group nearly every member is near some hub of its cells, so that few links tie the group together.
     """
-    cells = _cells(fps, sure, names, around=False)
+    cells = _cells(fps, sure, names, around=False).withColumn("class", F.pmod(F.xxhash64(F.lit(11), *names), F.lit(HUBS)))
     hubs = stored(
-        cells.groupBy("cell").agg(F.max(F.struct("copies", *names)).alias("hub"), F.count(F.lit(1)).alias("n"))
-        .filter("n >= 2").select("cell", F.col("hub.copies").alias("copies"), *[F.col(f"hub.{n}").alias(f"h_{n}") for n in names]),
+        cells.groupBy("cell", "class").agg(F.max(F.struct("copies", *names)).alias("hub"))
+        .select(F.col("cell").alias("h_cell"), *[F.col(f"hub.{n}").alias(f"h_{n}") for n in names]),
         "hubs",
     )
     plain = cells.select("cell", *[F.col(n).alias(f"f_{n}") for n in names])
-    near = plain.join(hubs, "cell").filter(_apart("f_", "h_", names) <= distance)
-    near = near.select(_node(names, "f_").alias("node"), _node(names, "h_").alias("hub"), "copies", *[f"h_{n}" for n in names])
-    best = F.max(F.struct("copies", *[f"h_{n}" for n in names], "hub")).alias("best")
-    steps = near.filter("node <> hub").groupBy("node").agg(best).select("node", F.col("best.hub").alias("root"))
-    while True:
-        # twice as far in each round
-        steps = stored(steps, "steps")
-        ahead = steps.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        moved = steps.join(ahead, "root", "left").select("node", F.coalesce("next", "root").alias("root"), "next")
-        if moved.filter("next is not null").isEmpty():
-            return steps
-        steps = moved.drop("next")
+    other = F.lit(False)
+    for n in names:
+        other = other | (F.col(f"f_{n}") != F.col(f"h_{n}"))
+    near = plain.join(hubs, (F.col("cell") == F.col("h_cell")) & other & (_apart("f_", "h_", names) <= distance))
+    return near.select(_node(names, "f_").alias("u"), _node(names, "h_").alias("v")).distinct()
 
 
 def fingerprint_classes(fps: DataFrame, distance: int, names: Sequence[str], sure: int | None = None) -> DataFrame:
     """(node, root) for the distinct fingerprints; root names the component."""
     sure = distance if sure is None else sure
-    first = _hubs(fps, distance, sure, names)
+    first = components(_hub_links(fps, distance, sure, names))
     rooted = fps.withColumn("node", _node(names)).join(first, "node", "left")
     rooted = stored(rooted.select("node", *names, F.coalesce("root", "node").alias("root")), "rooted")
     merged = components(_root_links(rooted, distance, sure, names)).select(F.col("node").alias("root"), F.col("root").alias("top"))
