@@ -36,9 +36,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query()
+@query(r"""
+    with d as (select row_number() over () as r, doc_id,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+    x as (select r, unnest(w) as word, generate_subscripts(w, 1) as i, len(w) as n from d),
+    s as (select *, case when i + 34 <= n then string_agg(word, ' ') over
+        (partition by r order by i rows between current row and 34 following) end as seq from x),
+    c as (select r, i, word, seq is not null and count(*) over (partition by seq) > 1 as starts from s),
+    k as (select r, i, word, coalesce(bool_or(starts) over
+        (partition by r order by i rows between 34 preceding and current row), false) as gone from c),
+    t as (select r, count(*) as n_words, count(*) filter (where gone) as n_removed,
+        string_agg(word, ' ' order by i) filter (where not gone) as kept from k group by r)
+    select doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed,
+      sha256(coalesce(kept, '')) as kept_sha256
+    from d left join t using (r)""")
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rp.remove_repeats(table(spark, sf_dir, "documents"), min_words=35, with_text=False, carry=["doc_id"])
+    cut = rp.remove_repeats(table(spark, sf_dir, "documents"), min_words=35, with_text=False, carry=["doc_id"])
+    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 @query()
