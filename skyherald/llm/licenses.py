@@ -77,7 +77,7 @@ def _literal(files: list[list[tuple[str, list[str]]]]) -> Column:
     return F.array(*[F.array(*[one(n, b) for n, b in file]).cast(kind) for file in files])
 
 
-def _matches(unit: Column, files: Column, top: int, least: float) -> Column:
+def _matches(unit: Column, files: Column, least: float) -> Column:
     """Templates with a Dice of `least` or more for one normalised line or paragraph: array<struct<name, dice>>."""
     none = F.array().cast("array<struct<name: string, dice: double>>")
 
@@ -104,8 +104,7 @@ def license_scan(
 ) -> DataFrame:
     """Documents with `licenses`: array<struct<name, dice>>, each name once with its best value, by name."""
     carry = list(docs.columns if carry is None else carry)
-    files = filed(templates, least)
-    top = len(files) - 1
+    files = _literal(filed(templates, least))
     rows = carried(docs, text)
     held = F.struct(*[F.col("row").getField(c).alias(c) for c in carry]).alias("row")
     plain = F.regexp_replace(F.lower(F.coalesce(F.col(f"in_{text}"), F.lit(""))), r"[^a-z0-9\n]+", " ")
@@ -113,7 +112,7 @@ def license_scan(
         F.split("t", "\n"), F.filter(F.split("t", r"\n *\n"), lambda p: F.btrim(p).contains("\n"))
     )
     shown = rows.select(held, plain.alias("t")).select("row", units.alias("units"))
-    found = shown.select("row", F.flatten(F.transform("units", lambda u: _matches(u, _literal(files), top, least))).alias("found"))
+    found = shown.select("row", F.flatten(F.transform("units", lambda u: _matches(u, files, least))).alias("found"))
     best = lambda name: F.array_max(F.transform(
         F.filter("found", lambda m: m.getField("name") == name), lambda m: m.getField("dice")
     ))
