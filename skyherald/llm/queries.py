@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyherald.llm import decontaminate as dc
+from skyherald.llm import divergence as dv
 from skyherald.llm import language as lg
 from skyherald.llm import licenses as lc
 from skyherald.llm import packing as pk
 from skyherald.llm import pii as pi
+from skyherald.llm import prefix_trie as pt
 from skyherald.llm import quality as ql
 from skyherald.llm import repeats as rp
 from skyherald.llm import secrets as sc
 from skyherald.llm import simhash as sh
+from skyherald.llm import token_counts as tk
 from skyherald.llm import warc as wc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +170,77 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "contaminated", F.transform("matches", lambda m: m["item_id"]).alias("item_ids"),
         F.transform("matches", lambda m: m["distance"]).alias("distances"),
     )
+
+
+@query(r"""
+    with d as (select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+        unnest(regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as w from documents),
+    o as (select r, lang, source, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term from d),
+    k as (select lang, term, count(*) as in_lang from o group by all having count(distinct r) >= 10),
+    l as (select lang, count(*) as v, sum(in_lang)::hugeint as lang_n from k group by lang),
+    c as (select lang, source, term, count(*) as n from o join k using (lang, term) group by all),
+    g as (select *, coalesce(v, 0) as kinds from
+        (select distinct coalesce(lang, '') as lang, coalesce(source, '') as source from documents)
+        left join (select lang, source, sum(n)::hugeint as total from c group by all) using (lang, source)
+        left join l using (lang)),
+    p as (select g.lang, g.source, k.term, coalesce(c.n, 0) as n, k.in_lang, g.v, g.lang_n,
+        1 + 1000000000::hugeint * (coalesce(c.n, 0) + 2) // (coalesce(g.total, 0) + 2 * g.v) as p
+        from g join k using (lang) left join c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+    pairs as (select a.lang, a.source, b.source as item, coalesce(x.value, 0) as value
+        from g a join g b on a.lang = b.lang and a.source <> b.source left join (
+          select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+          from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+        ) x on x.lang = a.lang and x.source = a.source and x.item = b.source),
+    q as (select *, 1 + 1000000000::hugeint * (in_lang + 2) // (lang_n + 2 * v) as q from p where n > 0),
+    terms as (select lang, source, term as item, (p - q) * (p - q) // (p + q) as value from q where p > q),
+    x as (select lang, source, 'pair' as part, item, value from pairs union all
+      select lang, source, 'term', item, value from terms)
+    select lang, source, part, item, value::bigint as value, rank::int as rank from (
+      select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from x)
+    where part = 'pair' or rank <= 10""")
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dv.source_divergence(table(spark, sf_dir, "documents"))
+
+
+# crc32 of a number's decimal digits: for each byte eight steps of the reversed polynomial
+_CRC = """xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split(c::varchar, ''), lambda x: ascii(x)::bigint)),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, y: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)), 4294967295)"""
+
+
+@query(rf"""
+    with t as (select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (partition by conv_id
+        order by turn nulls first, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) as i
+        from conversations where conv_id is not null),
+    h as (select c, {_CRC} % 9 as h from (select distinct c from t)),
+    r as (select h.c, t.i, role, text from h join t on t.c = h.c - h.c % 5 and t.i <= h
+      union all select h.c, i, role, text from h join t on t.c = h.c and t.i > h),
+    o as (select c, row_number() over (partition by c order by i) as d, role, text from r),
+    k as (select c, d, strlen(text) as b, md5(string_agg(md5(role) || md5(text), '' order by d) over (partition by c order by d)) as k
+      from o),
+    m as (select c, d, b, k from k union all select c, 0, 0, '' from h),
+    l as (select c, max(d) as n from m group by c),
+    nodes as (select k, d, any_value(b) as b, min(c) as id, count(*) as n,
+        coalesce(string_agg(c::varchar, ',' order by c) filter (where d = l.n), '') as ends
+        from m join l using (c) group by k, d),
+    up as (select a.k, a.d, p.k as pk, p.id as pid from nodes a join m on m.c = a.id and m.d = a.d - 1 join nodes p on p.k = m.k and p.d = m.d),
+    kids as (select pk, count(*) as n from up group by pk),
+    s as (select anc.k, sum((a.n - 1) * a.b) as saved, count(*) filter (where kids.n is null) as leaves
+        from nodes a left join kids on kids.pk = a.k join m anc on anc.c = a.id and anc.d <= a.d group by anc.k)
+    select a.id as conv_id, a.d as depth, up.pid as parent_conv_id, a.n as n_convs, coalesce(kids.n, 0) as n_children,
+      s.leaves as n_leaves, s.saved::bigint as saved_tokens, sha256(a.ends) as ends_sha256
+    from nodes a left join up on up.k = a.k and up.d = a.d left join kids on kids.pk = a.k join s on s.k = a.k""")
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pt.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def vocabulary_path() -> str:
+    """The vocabulary file of the registered query, beside the library that brings the files."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query()
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tk.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path(), carry=["doc_id"])
