@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,7 +60,7 @@ def crossmatch(
 
     The notice side is broadcast while a bound of its number of cells and of their bytes, from one aggregate over the
     notices, stays small: then the alerts are not shuffled. Otherwise both sides are shuffled by cell and hot cells are
-    salted.
+    split by adaptive execution.
     """
     # a cover as wide as the cone is refined exactly, so a coarser and cheaper one gives the same pairs
     complete = cone_factor is not None and cone_factor <= cover_factor
@@ -77,7 +79,7 @@ def crossmatch(
     if cells * (width + 80) > BROADCAST_BYTES:
         cells = None
     pairs = skew_join(
-        left, right, ["cell", *key], ["candid"], small_rows=cells, condition=cond, broadcast_rows=broadcast_rows
+        left, right, ["cell", *key], small_rows=cells, condition=cond, broadcast_rows=broadcast_rows
     )
     pairs = pairs.withColumn("separation", sky.separation_of(_pair_chord2())).drop(
         "cell", *key, "__reach", *_ALERT_VECTOR, *_NOTICE_VECTOR
@@ -120,19 +122,37 @@ def keep_associated(pairs: DataFrame) -> DataFrame:
     return pairs.filter(F.col("p_assoc") != NOT_ASSOCIATED)
 
 
+# the least value of the types whose aggregation buffers are changed in place, so that a hash aggregate can hold them
+_LEAST = {
+    "double": float("-inf"), "float": float("-inf"), "long": -(1 << 63), "integer": -(1 << 31), "short": -(1 << 15),
+    "byte": -(1 << 7), "boolean": False, "timestamp": datetime.datetime(1, 1, 1), "date": datetime.date(1, 1, 1),
+}
+
+
 def dedup_matches(
     matches: DataFrame, key=("objectId", "triggerId", "gcn_status"), order=("jd", "candid")
 ) -> DataFrame:
-    """One row per key, the first in `order`.
+    """One row per key, the first in `order` (null first).
 
-    An aggregate, not a window: each task reduces its own rows first, so a hot key never meets in one task.
+    Aggregates, not a window: a hot key's rows are dealt by the first column of `order` and reduced there before they meet.
+    Where all columns but the key are of fixed width these are hash aggregates, one for each column of `order`, from the
+    last to the first; texts and nested columns need one that sorts.
     """
     rest = [c for c in matches.columns if c not in key]
-    return (
-        matches.groupBy(*key)
-        .agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__row"))
-        .select(*key, "__row.*")
-    )
+    if any(matches.schema[c].dataType.typeName() not in _LEAST for c in rest):
+        return (
+            matches.groupBy(*key)
+            .agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__row"))
+            .select(*key, "__row.*")
+        )
+    ranks = [f"__rank{i}" for i in range(len(order))]
+    least = [F.lit(_LEAST[matches.schema[c].dataType.typeName()]).cast(matches.schema[c].dataType) for c in order]
+    rows = matches.select(*key, *rest, *[F.coalesce(c, x).alias(r) for c, x, r in zip(order, least, ranks, strict=True)])
+    rows = rows.repartition(*key, ranks[0])
+    for i in reversed(range(len(order))):
+        first = [F.min_by(c, ranks[i]).alias(c) for c in rest]
+        rows = rows.groupBy(*key, *ranks[:i]).agg(*first)
+    return rows.select(*key, *rest)
 
 
 def reattach_raw(
@@ -143,4 +163,4 @@ def reattach_raw(
     raw = notices.select(*key, "raw_event")
     size = total(raw, F.octet_length("raw_event").cast("bigint") + 100)
     rows = 0 if size <= max_broadcast_bytes else None
-    return skew_join(matches, raw, list(key), ["candid"], small_rows=rows)
+    return skew_join(matches, raw, list(key), small_rows=rows)

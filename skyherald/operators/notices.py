@@ -15,7 +15,7 @@ from skyherald.observatories import (
 )
 from skyherald.operators.grade import drop_json_key
 from skyherald.operators.skymap import decode_skymap
-from skyherald.plans.sizing import computed_once, running_sum
+from skyherald.plans.sizing import computed_once, running
 
 VOEVENT = """
 _ivorn string, _role string,
@@ -227,7 +227,7 @@ def notice_status(
     """Add `gcn_status`, the update number in order of arrival.
 
     A trigger is remembered for `time_window` days after its trigger time; a notice that arrives later finds
-    no predecessor and is `initial`. Works for a trigger of any number of notices (see `running_sum`).
+    no predecessor and is `initial`. Works for a trigger of any number of notices (see `running`).
     `received` has per trigger the number of fresh notices before these, for a table that comes in parts.
     """
     tie = F.xxhash64(*[c for c in notices.columns if c != "raw_event"]) if tie is None else tie
@@ -235,7 +235,7 @@ def notice_status(
     marked = notices.withColumns(
         {"__order": F.unix_micros(ack), "__tie": tie, "__fresh": fresh.cast("bigint")}
     )
-    ranked = running_sum(marked, [key], "__order", "__tie", F.col("__fresh"), "__rank")
+    ranked = running(marked, [key], ["__order", "__tie"], F.col("__fresh"), "__rank")
     before = F.lit(0)
     if received is not None:
         ranked, before = ranked.join(received.select(key, F.col("received").alias("__before")), key, "left"), F.coalesce("__before", F.lit(0))

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from skyherald.functions import sky
 from skyherald.operators.regions import with_time_keys
-from skyherald.plans.sizing import running_sum, skew_join, total
+from skyherald.plans.sizing import ROWS_PER_TASK, running, skew_join
 from skyherald.sources import fits
 
 KEY = ("triggerId", "gcn_status")
@@ -96,38 +96,6 @@ def skymap_explode(notices: DataFrame, skymap: str = "skymap", key=KEY) -> DataF
     )
 
 
-def map_summary(uniq: Column, density: Column, prob: float = 0.9) -> Column:
-    """struct(ra, dec, area_arcmin2) of one map held as arrays: its densest pixel and its credible area.
-
-    For ingestion, where a map is still a value of its row: no shuffle, and usable on a stream.
-    """
-    pixels = F.transform(
-        F.arrays_zip(uniq.alias("u"), density.alias("d")),
-        lambda p, i: F.struct((-p["d"]).alias("neg"), i.alias("i"), p["u"].alias("u")),
-    )
-    zero = F.struct(F.lit(0.0).alias("cum"), F.lit(0.0).alias("area"))
-
-    def add(acc: Column, p: Column) -> Column:
-        area = sky.pixel_area_sr(sky.uniq_level(p["u"]))
-        return sky.let(
-            lambda s: F.struct(
-                s["cum"].alias("cum"),
-                (acc["area"] + F.when(s["cum"] < prob, s["area"]).otherwise(0.0)).alias("area"),
-            ),
-            cum=acc["cum"] - area * p["neg"], area=area,
-        )
-
-    def finish(s: Column) -> Column:
-        first = s["sorted"][0]["u"]
-        return sky.let(
-            lambda c: F.struct(c["pos"]["ra"].alias("ra"), c["pos"]["dec"].alias("dec"), c["area"].alias("area_arcmin2")),
-            pos=sky.nest_ra_dec(sky.uniq_level(first), sky.uniq_ipix(first)),
-            area=sky.sr_to_arcmin2(F.aggregate(s["sorted"], zero, add, lambda acc: acc["area"])),
-        )
-
-    return F.when(F.size(uniq) > 0, sky.let(finish, sorted=F.array_sort(pixels)))
-
-
 def uniq_decode(pixels: DataFrame) -> DataFrame:
     """Add level, ipix (NESTED) and the pixel area in sr."""
     return pixels.withColumn("level", sky.uniq_level(F.col("uniq"))).withColumns(
@@ -145,7 +113,7 @@ def credible_region(pixels: DataFrame, prob: float = 0.9, key=KEY) -> DataFrame:
     ranked = uniq_decode(own_pixels(pixels)).withColumn("__neg", -F.col("probdensity"))
     share = F.col("area_sr") * F.col("probdensity")
     return (
-        running_sum(ranked, list(key), "__neg", "row_idx", share, "cumprob")
+        running(ranked, list(key), ["__neg", "row_idx"], share, "cumprob")
         .filter(F.col("cumprob") < prob)
         .drop("__neg")
     )
@@ -188,21 +156,20 @@ def complete_skymap(pixels: DataFrame, key=KEY) -> DataFrame:
     """Fill the gaps of partial maps: a gap takes the density of the pixel before it, in level-29 order, and
     the part before the first pixel that of the last one.
 
-    That is what a search for "the last pixel starting at or before a position" returns, so afterwards an exact
-    ancestor join finds the same density without sorting positions. A window group is one map, which arrived
+    That is what a search for "the last pixel starting at or before a position" returns, so afterwards a join on the
+    pixels' ranges finds the same density. A window group is one map, which arrived
     as one message. `is_filler` marks what was filled in: it has no probability of its own.
     """
-    whole = 12 * (1 << (2 * sky.MAX_LEVEL))
     order = Window.partitionBy(*key).orderBy("start")
     everywhere = Window.partitionBy(*key)
     p = (
         uniq_decode(pixels)
         .withColumn("start", sky.first_index(F.col("uniq")))
         .withColumn("end", F.col("start") + sky.power4(F.lit(sky.MAX_LEVEL) - F.col("level")))
-        .withColumn("next", F.coalesce(F.lead("start").over(order), F.lit(whole)))
+        .withColumn("next", F.coalesce(F.lead("start").over(order), F.lit(WHOLE)))
         .withColumn("__first", F.min("start").over(everywhere))
     )
-    last = F.col("next") == whole
+    last = F.col("next") == WHOLE
     gaps = p.select(
         *key, "row_idx", "probdensity",
         F.inline(
@@ -251,71 +218,86 @@ def _span(lo: Column, hi: Column) -> Column:
     return F.when(lo < hi, F.sequence(lo, hi - 1)).otherwise(F.array().cast("array<bigint>"))
 
 
-def map_levels(pixels: DataFrame) -> list[int]:
-    """The pixel levels that occur: at most 30 numbers."""
-    rows = pixels.select(sky.uniq_level(F.col("uniq")).alias("level")).distinct().collect()
-    return sorted(r["level"] for r in rows)
-
-
-def with_ancestors(points: DataFrame, ra: str, dec: str, levels: list[int]) -> DataFrame:
-    """One row per point and level: `uniq` of the cell that holds it."""
-    indexed = sky.with_nest_index(points, ra, dec, "__nest")
-    cells = [F.shiftright("__nest", 2 * (sky.MAX_LEVEL - v)) + (4 << 2 * v) for v in levels]
-    return indexed.withColumn("uniq", F.explode_outer(F.array(*[sky.known(x, -1) for x in cells]))).drop("__nest")
+WHOLE = 12 * (1 << (2 * sky.MAX_LEVEL))
+# the interval join's buckets are cells of this level on a stream; in batch the level is chosen from the pixels
+BUCKET_LEVEL = 3
 
 
 def skymap_density_at(
-    points: DataFrame,
-    pixels: DataFrame,
-    key=KEY,
-    ra: str = "ra",
-    dec: str = "dec",
-    levels: list[int] | None = None,
-    pixel_rows: int | None = None,
+    points: DataFrame, pixels: DataFrame, key=KEY, ra: str = "ra", dec: str = "dec", rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """Add `density` (per square degree) of each point in the complete map of its own notice.
+    """Add `density` (per square degree) of each point in the map of its own notice: that of the last pixel that starts at
+    or before the point, in level-29 order, and of the map's last pixel before its first one. Maps may have gaps.
+
+    An as-of join as one merge: points and pixel starts are put into one order per map, and the last density is carried
+    along. No point or pixel is repeated; a map with very many points is cut into slices (`running`). Points of a notice
+    without a map are left out.
+    """
+    point = F.struct(*[F.col(f"`{c}`") for c in points.columns if c not in key]).alias("__point")
+    indexed = sky.with_nest_index(points.select(*key, point, F.col(f"`{ra}`").alias("__ra"), F.col(f"`{dec}`").alias("__dec")), "__ra", "__dec", "__at")
+    asked = indexed.select(
+        *key, "__at", F.monotonically_increasing_id().alias("__tie"), "__point", F.lit(None).cast("double").alias("probdensity")
+    )
+    starts = pixels.select(*key, sky.first_index(F.col("uniq")).alias("__at"), "probdensity")
+    merged = asked.unionByName(starts.withColumn("__tie", F.lit(-1).cast("long")), allowMissingColumns=True)
+    found = running(merged, list(key), ["__at", "__tie"], F.col("probdensity"), "__density", "last", rows_per_task)
+    found = found.filter(F.col("__point").isNotNull() & F.col("__density").isNotNull())
+    inner = [F.col("__point").getField(c).alias(c) for c in points.columns if c not in key]
+    return found.select(*key, *inner, sky.per_sr_to_per_deg2(F.col("__density")).alias("density")).select(*points.columns, "density")
+
+
+def with_index_range(pixels: DataFrame) -> DataFrame:
+    """The level-29 cells of a pixel, [start, end)."""
+    size = sky.power4(F.lit(sky.MAX_LEVEL) - sky.uniq_level(F.col("uniq")))
+    return pixels.withColumn("start", sky.first_index(F.col("uniq"))).withColumn("end", F.col("start") + size)
+
+
+def in_buckets(ranges: DataFrame, level: int) -> DataFrame:
+    """One row per range [start, end) and bucket it meets: the cells of a level, whatever the range's own is."""
+    shift = 2 * (sky.MAX_LEVEL - level)
+    return ranges.withColumn("bucket", F.explode_outer(F.sequence(F.shiftright("start", shift), F.shiftright(F.col("end") - 1, shift))))
+
+
+def bucket_of(index: str, level: int) -> Column:
+    """The bucket of a level-29 index; a point has one."""
+    return sky.known(F.shiftright(index, 2 * (sky.MAX_LEVEL - level)), -1)
+
+
+def bucket_level(pixels: DataFrame, grid: int) -> tuple[int, int]:
+    """(level of the buckets, rows that the pixels make in them), from one count per pixel level.
 
-    An as-of search done as an equi join: a point has one ancestor per level, and exactly one of them is a
-    pixel of the map.
+    Buckets are as fine as they can be while listing the coarser pixels in all of theirs doubles the rows at most.
     """
-    levels = map_levels(pixels) if levels is None else levels
-    ancestors = with_ancestors(points, ra, dec, levels)
-    pixel_rows = total(pixels, F.lit(1)) if pixel_rows is None else pixel_rows
-    density = pixels.select(*key, "uniq", sky.per_sr_to_per_deg2(F.col("probdensity")).alias("density"))
-    return skew_join(ancestors, density, [*key, "uniq"], [ra, dec], small_rows=pixel_rows).drop("uniq")
+    rows = pixels.groupBy(sky.uniq_level(F.col("uniq")).alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = {}
+    for r in rows:  # at most 30
+        counts[max(r["level"], grid)] = counts.get(max(r["level"], grid), 0) + r["n"] * 4 ** max(grid - r["level"], 0)
+    listed = lambda at: sum(n * 4 ** max(at - level, 0) for level, n in counts.items())
+    level = max(v for v in range(grid, sky.MAX_LEVEL + 1) if v == grid or listed(v) <= 2 * listed(grid))
+    return level, listed(level)
 
 
 def skymap_match(
-    alerts: DataFrame,
-    pixels: DataFrame,
-    cells: DataFrame,
-    notices: DataFrame,
-    nside: int,
-    levels: list[int] | None = None,
-    pixel_rows: int | None = None,
-    key=KEY,
+    alerts: DataFrame, pixels: DataFrame, cells: DataFrame, notices: DataFrame, nside: int, key=KEY,
     max_delay: float | None = None,
 ) -> DataFrame:
     """Pairs of alerts and map notices that share a cell of the credible region, with the map's density.
 
-    One equi join does both: every map pixel is brought to the grid level or finer, kept where its cell is in
-    the region, and joined on the alert's ancestors. `notices` carries the columns a pair needs; pairs before
-    the trigger are dropped.
+    One interval join does both: every map pixel is brought to the grid level or finer, kept where its cell is in
+    the region, and listed in the buckets it meets; an alert is in one bucket, whatever levels the maps have, and inside one
+    pixel of a map at most. `notices` carries the columns a pair needs; pairs before the trigger are dropped.
     """
-    side = region_pixels(pixels, cells, nside, key).join(notices, list(key))
-    if pixel_rows is None:
-        # a bound: every pixel, brought to the grid level
-        steps = F.greatest(F.lit(nside.bit_length() - 1) - sky.uniq_level(F.col("uniq")), F.lit(0))
-        pixel_rows = total(pixels, sky.power4(steps))
-    levels = map_levels(pixels) if levels is None else levels
-    ancestors = with_ancestors(alerts, "ztf_ra", "ztf_dec", sorted({max(v, nside.bit_length() - 1) for v in levels}))
+    level, rows = bucket_level(pixels, nside.bit_length() - 1)
+    side = with_index_range(region_pixels(pixels, cells, nside, key)).drop("uniq").join(notices, list(key))
+    side = in_buckets(side, level)
+    placed = sky.with_nest_index(alerts, "ztf_ra", "ztf_dec", "__at").withColumn("bucket", bucket_of("__at", level))
     after = F.col("jdstarthist") > F.col("triggerTimejd")
-    ancestors, side, span = with_time_keys(ancestors, side, max_delay)
+    placed, side, span = with_time_keys(placed, side, max_delay)
     if max_delay is not None:
-        after, pixel_rows = after & (F.col("jd") <= F.col("triggerTimejd") + F.lit(max_delay)), 2 * pixel_rows
-    return skew_join(
-        ancestors, side, ["uniq", *span], ["candid"], small_rows=pixel_rows, condition=after
-    ).drop("uniq", *span)
+        after, rows = after & (F.col("jd") <= F.col("triggerTimejd") + F.lit(max_delay)), 2 * rows
+    inside = (F.col("__at") >= F.col("start")) & (F.col("__at") < F.col("end"))
+    pairs = skew_join(placed, side, ["bucket", *span], small_rows=rows, condition=inside & after)
+    return pairs.drop("bucket", "__at", "start", "end", *span)
 
 
 def region_pixels(pixels: DataFrame, cells: DataFrame, nside: int, key=KEY) -> DataFrame:

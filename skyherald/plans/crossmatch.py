@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyherald.functions.time import partition_cols
@@ -70,6 +70,17 @@ def narrow_alerts(prepared: DataFrame) -> DataFrame:
     return lifted.select(*ALERT_COLUMNS)
 
 
+def _wide_alerts(prepared: DataFrame, s: MatchSettings) -> DataFrame:
+    """What a match shows of its alert, one row per `candid`: the rows of an alert that is stored twice are equal.
+
+    Counting the rows of an id needs them sorted by it, which the join by id needs anyway, and nothing is aggregated.
+    """
+    wide = prepared.drop("objectId").withColumn("candid", F.col("candidate.candid"))
+    copy = F.count(F.lit(1)).over(Window.partitionBy("candid").orderBy("candid").rowsBetween(Window.unboundedPreceding, 0))
+    one = wide.withColumn("__copy", copy).filter(F.col("__copy") == 1).drop("__copy")
+    return history_concat(one) if s.histories else one
+
+
 def map_pairs(alerts: DataFrame, notices: DataFrame, pixels: DataFrame, s: MatchSettings) -> DataFrame:
     """Pairs with sky-map notices, each with the map's density at the alert.
 
@@ -94,7 +105,7 @@ def crossmatch_night(
     de-duplicated, so that an object is kept when any of its alerts is associated.
 
     A pair carries an id of its very notice, since several versions that arrive after their trigger's window are all
-    `initial`; the survivors' columns are joined on that id. An alert that is stored twice is taken out at the end.
+    `initial`; the survivors' columns are joined on that id. Of an alert that is stored twice one row is joined.
     """
     s = settings
     prepared = prepare_alerts(alerts, s)
@@ -109,22 +120,17 @@ def crossmatch_night(
     delay = F.col("jd_first_real_det") - F.col("triggerTimejd")
     value = p_assoc(delay, F.col("separation"), F.col("density"), s.year_conversion, s.observatories)
     valued = keep_associated(pairs.withColumn("p_assoc", value))
-    # few columns go through the de-duplication; all others join its survivors by key
+    # few columns, all of fixed width, go through the de-duplication; all others join its survivors by key
     key = ("objectId", "triggerId", "gcn_status")
     few = valued.select(*key, "candid", "jd", "p_assoc", "ackTime", "__notice")
     matches = dedup_matches(few, key, ("jd", "candid", "ackTime", "__notice")).drop("jd", "ackTime", "triggerId", "gcn_status")
-    wide = prepared.drop("objectId").withColumn("candid", F.col("candidate.candid"))
-    if s.histories:
-        wide = history_concat(wide)
-    matches = matches.join(wide, "candid")
+    matches = matches.join(_wide_alerts(prepared, s), "candid")
     details = notices.withColumnsRenamed({"ra": "gcn_ra", "dec": "gcn_dec"})
     shown = [*NOTICE_COLUMNS, *(["raw_event"] if with_raw else [])]
     # names of their own until joined: the pairs come from the same columns, and the optimiser must not mix the two up
     details = details.select("__notice", *[F.col(c).alias(f"__of_{c}") for c in shown]).dropDuplicates(["__notice"])
     size = total(notices, F.octet_length("raw_event").cast("bigint") + ROW_BYTES) if with_raw else total(notices, F.lit(ROW_BYTES))
     rows = 0 if size <= BROADCAST_BYTES else None
-    matches = skew_join(matches, details, ["__notice"], ["candid"], small_rows=rows).drop("__notice")
+    matches = skew_join(matches, details, ["__notice"], small_rows=rows).drop("__notice")
     matches = matches.withColumnsRenamed({f"__of_{c}": c for c in shown})
-    # the same alert may be stored twice: its rows are equal, one of them stays
-    matches = dedup_matches(matches, key, ("candid",))
     return partition_cols(match_projection(classify(matches, s.class_rules)))

@@ -1,15 +1,15 @@
-"""Decisions that need a size: broadcast or shuffle, salting of hot keys, ordered slices of hot groups."""
+"""Decisions that need a size: broadcast or shuffle, ordered slices of hot groups."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyherald.session import written
+
 # a side is broadcast only when its row count, and its rows times their width, are proven to stay below these
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 256 << 20
-# a key with more rows than this on the big side of a shuffled join is split
-ROWS_PER_SALT = 2_000_000
 # an ordered group with more rows than this is not given to a single task
 ROWS_PER_TASK = 2_000_000
 
@@ -49,125 +49,86 @@ def skew_join(
     big: DataFrame,
     small: DataFrame,
     on: list[str],
-    spread_by: list[str],
     small_rows: int | None = None,
     condition: Column | None = None,
     how: str = "inner",
     broadcast_rows: int = BROADCAST_ROWS,
-    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Equi join of a big table with a smaller one that survives a key holding a large share of `big`.
 
     `small_rows` is a proven bound of the smaller side: below `broadcast_rows` it is broadcast and `big` is
-    not shuffled at all. Beyond it both sides are shuffled, and each hot key of `big` is cut into salts by a
-    hash of `spread_by`, while only the matching rows of `small` are repeated.
+    not shuffled at all. Beyond it both sides are shuffled by plain exchanges, of which adaptive execution cuts the
+    partitions that turn out to be skewed (`spark.sql.adaptive.skewJoin`, see `SETTINGS`): a hot key's rows of `big` go to
+    several tasks, and only its rows of `small` are repeated. Nothing is counted beforehand, so `big` is computed once.
     """
-
-    def joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-        if condition is None:
-            return left.join(right, keys, how)
-        cond = condition
-        renamed = right
-        for k in keys:
+    on_condition, renamed = condition, small
+    if condition is not None:
+        for k in on:
             renamed = renamed.withColumnRenamed(k, f"__{k}")
-            cond = cond & (F.col(k) == F.col(f"__{k}"))
-        return left.join(renamed, cond, how).drop(*[f"__{k}" for k in keys])
-
+            on_condition = on_condition & (F.col(k) == F.col(f"__{k}"))
     if small_rows is not None and small_rows <= broadcast_rows:
-        return joined(big, F.broadcast(small), on)
-    # at most rows(big) / rows_per_salt keys can be hot
-    hot = (
-        big.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > rows_per_salt)
-        .select(*on, F.ceil(F.col("__n") / rows_per_salt).cast("int").alias("__salts"))
-    )
-    salted_big = (
-        big.join(F.broadcast(hot), on, "left")
-        .withColumn("__salt", F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("__salts")).cast("int"), F.lit(0)))
-        .drop("__salts")
-    )
-    salted_small = (
-        small.join(F.broadcast(hot), on, "left")
-        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)))
-        .drop("__salts")
-    )
-    return joined(salted_big, salted_small, on + ["__salt"]).drop("__salt")
-
-
-def _cuts(df: DataFrame, value: str, slices: int) -> list[float]:
-    """Approximate quantiles of a column: at most `slices` numbers on the driver."""
-    shares = [i / slices for i in range(1, slices)]
-    row = df.agg(F.percentile_approx(value, shares, slices * 50).alias("q")).first()
-    return row["q"] or []
-
-
-def _rank_among(value: Column, cuts: list) -> Column:
-    """How many of the cuts are <= value."""
-    return sum(((value >= F.lit(c)).cast("int") for c in cuts), F.lit(0))
-
-
-def running_sum(
-    df: DataFrame, group: list[str], order: str, tie: str, measure: Column, name: str,
+        renamed = F.broadcast(renamed)
+    if condition is None:
+        return big.join(renamed, on, how)
+    return big.join(renamed, on_condition, how).drop(*[f"__{k}" for k in on])
+
+
+def running(
+    df: DataFrame, group: list[str], order: list[str], value: Column, name: str, kind: str = "sum",
     rows_per_task: int = ROWS_PER_TASK, slices: int | None = None,
 ) -> DataFrame:
-    """`sum(measure)` over each group in (order, tie) order, current row included, for groups of any size.
+    """`value` accumulated over each group in the order of `order`, current row included, for groups of any size: its
+    sum, or (`kind="last"`) its last value that is not null; in a circle, so that rows before the first value get the
+    group's last one.
 
     A window hands a whole group to one task, which is right for groups of up to `rows_per_task` rows. A first,
-    pre-aggregated count finds the larger ones; only these are cut into ordered slices (`_sliced_sum`).
-    `order` and `tie` are numeric columns without nulls, and (order, tie) is unique in a group.
+    pre-aggregated count finds the larger ones; only these go through `_scanned`. The columns of `order` have no nulls and
+    are unique in a group.
     """
-    df = df.withColumn("__m", measure)
-
-    def whole(part: DataFrame) -> DataFrame:
-        w = Window.partitionBy(*group).orderBy(order, tie).rowsBetween(Window.unboundedPreceding, 0)
-        return part.withColumn(name, F.sum("__m").over(w)).drop("__m")
-
-    # at most rows / rows_per_task groups
+    df = df.withColumn("__m", value)
     large = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows_per_task)
-    most = large.agg(F.max("n")).first()[0]
-    if most is None:
-        return whole(df)
-    # so many that a slice of the largest group is about half of what a task holds
-    slices = max(8, -(-2 * most // rows_per_task)) if slices is None else slices
+    # at most rows / rows_per_task groups
+    rows = large.agg(F.sum("n")).first()[0]
+    if rows is None:
+        return _accumulated(df, group, order, name, kind).drop("__m")
+    # so many that a slice is about half of what a task holds
+    slices = max(8, -(-2 * rows // rows_per_task)) if slices is None else slices
     large = F.broadcast(large.select(*group))
-    return whole(df.join(large, group, "left_anti")).unionByName(
-        _sliced_sum(df.join(large, group, "left_semi"), group, order, tie, name, slices)
-    )
+    small = _accumulated(df.join(large, group, "left_anti"), group, order, name, kind).drop("__m")
+    return small.unionByName(_scanned(df.join(large, group, "left_semi"), group, order, name, kind, slices))
+
+
+def _accumulated(df: DataFrame, group: list[str], order: list[str], name: str, kind: str, circle: bool = True) -> DataFrame:
+    w = Window.partitionBy(*group).orderBy(*order)
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    if kind == "sum":
+        return df.withColumn(name, F.sum("__m").over(so_far))
+    last = F.last("__m", ignorenulls=True)
+    found = last.over(so_far)
+    whole = last.over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return df.withColumn(name, F.coalesce(found, whole) if circle else found)
 
 
-def _sliced_sum(df: DataFrame, group: list[str], order: str, tie: str, name: str, slices: int) -> DataFrame:
-    """Running sum of `__m` over groups too large for one task.
+def _scanned(df: DataFrame, group: list[str], order: list[str], name: str, kind: str, slices: int) -> DataFrame:
+    """`running` as a prefix scan: one range partitioning by group and order cuts large groups into slices, a slice's total
+    is carried to those after it, and only a slice is accumulated in one task.
 
-    Groups are cut at the quantiles of `order` (and, for a value of `order` that spans several quantiles, at the
-    quantiles of `tie`). Slice totals are pre-aggregated, their running sums (a few rows per group) are the
-    offsets, and only a slice is sorted in one task.
+    The dealt rows are written, because a range partitioning computed twice may cut at other places.
     """
-    cuts = _cuts(df, order, slices)
-    heavy = sorted({c for i, c in enumerate(cuts) if i and cuts[i - 1] == c})
-    cuts = sorted(set(cuts))
-    rank, part = _rank_among(F.col(order), cuts), F.lit(0)
-    if heavy:
-        is_heavy = F.col(order).isin(*heavy)
-        part = F.when(is_heavy, _rank_among(F.col(tie), sorted(set(_cuts(df.filter(is_heavy), tie, slices))))).otherwise(0)
-    # rows above a cut come after the (possibly subdivided) rows that equal it
-    above = (F.col(order) > _last_cut(F.col(order), cuts)).cast("int")
-    sliced = df.withColumns({"__slice": 2 * rank + above, "__part": part})
-    keys = [*group, "__slice", "__part"]
-    before = Window.partitionBy(*group).orderBy("__slice", "__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy(*keys).agg(F.sum("__m").alias("__t"))
-        .select(*keys, F.sum("__t").over(before).alias("__before"))
-    )
-    inside = Window.partitionBy(*keys).orderBy(order, tie).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        sliced.join(offsets, keys)
-        .withColumn(name, F.coalesce(F.col("__before"), F.lit(0)) + F.sum("__m").over(inside))
-        .drop("__slice", "__part", "__m", "__before")
-    )
-
-
-def _last_cut(value: Column, cuts: list) -> Column:
-    """The greatest cut <= value (the value itself below the first cut)."""
-    found = value
-    for c in cuts:
-        found = F.when(value >= F.lit(c), F.lit(c)).otherwise(found)
-    return found
+    dealt = written(df.repartitionByRange(slices, *group, *order).withColumn("__slice", F.spark_partition_id()), "slices")
+    keys = [*group, "__slice"]
+    # a row per group and slice
+    w = Window.partitionBy(*group).orderBy("__slice")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    if kind == "sum":
+        offsets = dealt.groupBy(*keys).agg(F.sum("__m").alias("__t"))
+        carry = F.sum("__t").over(before)
+    else:
+        last = F.max(F.when(F.col("__m").isNotNull(), F.struct(*order, "__m"))).alias("__t")
+        offsets = dealt.groupBy(*keys).agg(last).withColumn("__t", F.col("__t.__m"))
+        last = F.last("__t", ignorenulls=True)
+        carry = F.coalesce(last.over(before), last.over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    offsets = offsets.select(*keys, carry.alias("__before"))
+    inside = _accumulated(dealt, keys, order, name, kind, circle=False).join(offsets, keys)
+    both = F.col("__before") + F.col(name) if kind == "sum" else F.col(name)
+    return inside.withColumn(name, F.coalesce(both, name, "__before")).drop("__slice", "__m", "__before")

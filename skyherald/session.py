@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What the engine relies on. Cluster sizing (executors, memory, shuffle partitions) stays with spark-submit.
 SETTINGS = {
@@ -56,3 +56,10 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     path = tempfile.mkdtemp(prefix=f"skyherald-{purpose}-")
     atexit.register(shutil.rmtree, path, ignore_errors=True)
     return path
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """Write below the shared folder and read back: cuts the lineage, survives a lost executor, is computed once."""
+    path = shared_dir(df.sparkSession, purpose) + "/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -21,7 +21,7 @@ def number_batch(
     """Add `gcn_status` to the notices of a micro-batch; `earlier` has the notices of the batches before.
 
     Notices count in the order of arrival: batches one after another, a batch's rows by (ack, tie). Nothing is dropped for
-    being late, and the number of a trigger's rows does not matter (`running_sum`).
+    being late, and the number of a trigger's rows does not matter (`running`).
     """
     received = None
     if earlier is not None:

@@ -5,18 +5,20 @@ import dataclasses
 import gzip
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from skyherald.jobs import ingest
-from skyherald.jobs.crossmatch import online_matches, online_sink
+from skyherald.functions import sky
+from skyherald.jobs.crossmatch import main as crossmatch_job, online_matches, online_sink
 from skyherald.operators.grade import grade_flags, schema_differences, distribution_projection
 from skyherald.operators import notices as nt
 from skyherald.plans.crossmatch import crossmatch_night
 from skyherald.schemas import DISTRIBUTION, GRADES, MATCH as MATCH_SCHEMA
 from skyherald.sinks.tables import write_partitioned
 from skyherald.sources.tables import require_notice
-from skyherald.streaming.crossmatch import first_matches_sink
+from skyherald.streaming.crossmatch import first_matches_sink, skymap_stream
 from skyherald.streaming.run import bounded_run
 from skyherald.streaming.status import numbered_sink
 from skyherald.jobs.config import load
@@ -137,7 +139,7 @@ def test_online_equals_batch_within_the_window(spark, sf, tmp_path):
     a = spark.readStream.schema(alerts.schema).parquet(str(tmp_path / "a"))
     n = spark.readStream.schema(notices.schema).parquet(str(tmp_path / "n"))
     online = online_matches(a, n, MATCH, "60 days")
-    sink = online_sink(str(tmp_path / "o"), lambda s: s.read.parquet(str(tmp_path / "n")), MATCH, 60)
+    sink = online_sink(str(tmp_path / "o"), lambda s, days: s.read.parquet(str(tmp_path / "n")), MATCH, 60)
     query = online.writeStream.foreachBatch(sink).option("checkpointLocation", str(tmp_path / "log"))
     bounded_run(query.trigger(availableNow=True).start())
     key = ["objectId", "triggerId"]
@@ -146,6 +148,36 @@ def test_online_equals_batch_within_the_window(spark, sf, tmp_path):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0 and want.count() > 0
 
 
+def test_streamed_maps_of_any_level(spark, tmp_path):
+    """Pixels of levels 0 to 29 find the alerts that lie in them, and no other."""
+    rng = np.random.default_rng(2)
+    places = [(i, float(a), float(d)) for i, (a, d) in enumerate(zip(rng.uniform(0, 360, 60), rng.uniform(-89, 89, 60)))]
+    alerts = spark.createDataFrame(places, "candid long, ztf_ra double, ztf_dec double").selectExpr(
+        "*", "2.5D jdstarthist", "3D jd", "timestamp'2024-01-02' alert_ts")
+    index = {r[0]: r[1] for r in alerts.select("candid", sky.ang2pix_nest(29, F.col("ztf_ra"), F.col("ztf_dec"))).collect()}
+    rows, want = [], set()
+    for n, level in enumerate((0, 1, 3, 4, 5, 13, 13, 29)):
+        cell = index[7 * n] >> 2 * (29 - level)
+        rows.append((f"S{n}", (4 << 2 * level) + cell, float(n)))
+        want |= {(c, f"S{n}", float(n)) for c, i in index.items() if i >> 2 * (29 - level) == cell}
+    regions = spark.createDataFrame(rows, "triggerId string, uniq long, density double").selectExpr(
+        "*", "1D triggerTimejd", "timestamp'2024-01-01' trigger_ts")
+    for frame, name in ((alerts, "a"), (regions, "r")):
+        frame.write.parquet(str(tmp_path / name))
+    streams = [spark.readStream.schema(f.schema).parquet(str(tmp_path / n)) for f, n in ((alerts, "a"), (regions, "r"))]
+    pairs = skymap_stream(*streams).select("candid", "triggerId", "density")
+    query = pairs.writeStream.format("parquet").option("path", str(tmp_path / "o")).option("checkpointLocation", str(tmp_path / "log"))
+    bounded_run(query.trigger(availableNow=True).start())
+    got = [tuple(r) for r in spark.read.parquet(str(tmp_path / "o")).collect()]
+    assert len(got) == len(want) and set(got) == want and {t for _, t, _ in want} == {f"S{n}" for n in range(8)}
+
+
+def test_online_job_does_not_leave_maps_out_silently(tmp_path):
+    (tmp_path / "c.json").write_text(json.dumps({"match": {"class_rules": CLASS_RULES}, "grades": {"extragalactic": []}}))
+    with pytest.raises(SystemExit):
+        crossmatch_job(["online", "--alerts", "a", "--notices", "n", "--out", "o", "--night", "20240115", "--config", str(tmp_path / "c.json")])
+
+
 def test_config(tmp_path):
     path = tmp_path / "c.json"
     path.write_text(json.dumps({"match": {"class_rules": CLASS_RULES, "tiers": [[4, None]]}, "grades": {"extragalactic": ["Galaxy"]}}))

@@ -12,7 +12,7 @@ from skyherald.operators import match as mt
 from skyherald.operators import notices as nt
 from skyherald.operators import skymap as sm
 from skyherald.operators.validate import Rule, between, validate
-from skyherald.plans.sizing import running_sum, skew_join
+from skyherald.plans.sizing import running, skew_join
 from workload import derive as dv
 
 VOEVENT = """<?xml version = '1.0' encoding = 'UTF-8'?>
@@ -95,10 +95,12 @@ def test_fits_round_trip_and_summary(spark, sf):
     direct = m.select("triggerId", "gcn_status", F.posexplode("pixels").alias("row_idx", "p")).select("triggerId", "gcn_status", "row_idx", "p.*")
     decoded = sm.skymap_explode(m.select("triggerId", "gcn_status", "skymap"))
     assert decoded.exceptAll(direct).count() == 0 and direct.exceptAll(decoded).count() == 0
-    summary = m.select("triggerId", sm.map_summary(F.col("pixels.uniq"), F.col("pixels.probdensity")).alias("s")).select("triggerId", "s.*")
     table = sm.skymap_peak(direct).join(sm.credible_area(sm.credible_region(direct)), ["triggerId", "gcn_status"])
-    for r in summary.withColumnsRenamed({"ra": "ra1", "dec": "dec1", "area_arcmin2": "area1"}).join(table, "triggerId").collect():
-        assert (r["ra1"], r["dec1"]) == (r["ra"], r["dec"]) and r["area1"] == pytest.approx(r["area_arcmin2"])
+    table = {r["triggerId"]: r for r in table.collect()}
+    for r in m.collect():
+        uniq, density = (np.array([p[c] for p in r["pixels"]]) for c in ("uniq", "probdensity"))
+        want = table[r["triggerId"]]
+        assert sm.summarise(uniq, density) == pytest.approx((want["ra"], want["dec"], want["area_arcmin2"]))
     bad = spark.createDataFrame([("a", "initial", None), ("b", "initial", "xx")], "triggerId string, gcn_status string, skymap string")
     assert sm.skymap_explode(bad).count() == 0
     m.unpersist()
@@ -152,25 +154,68 @@ def test_cell_join_equals_brute_force(spark, sf, kw):
     assert len(got) == len(set(got)) and set(got) == brute_force(spark, sf, max_delay=kw["max_delay"])
 
 
-def test_skew_join_salts_hot_keys(spark):
+def test_skew_join_splits_hot_keys(spark):
     # a third of the rows share one key
-    big = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("b"))
-    small = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    salted = skew_join(big, small, ["k"], ["b"], rows_per_salt=100)
-    plain = big.join(small, "k")
-    assert salted.count() == 3000 and salted.exceptAll(plain.select(*salted.columns)).count() == 0
-
-
-def test_running_sum_of_large_groups(spark):
+    big = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("b"))
+    small = spark.range(60_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    sizes = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in sizes}
+    for k, v in sizes.items():
+        spark.conf.set(k, v)
+    try:
+        joined = skew_join(big.repartition(8), small, ["k"])
+        rows = joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(rows) == 60_000 and all(r["v"] == 2 * r["k"] for r in rows)
+
+
+@pytest.mark.parametrize("slices", [8, 2000])
+def test_running_values_of_large_groups(spark, slices):
     # one group holds most rows, and most of these share one value of the order column
     df = spark.range(4000).select(
         F.when(F.col("id") % 10 < 8, "hot").otherwise(F.concat(F.lit("g"), (F.col("id") % 7).cast("string"))).alias("g"),
         F.when(F.col("id") % 5 < 3, 1.0).otherwise((F.col("id") * 37 % 11).cast("double")).alias("o"),
-        F.col("id").alias("t"), (F.col("id") % 13).alias("m"),
+        F.col("id").alias("t"), F.when(F.col("id") % 9 > 1, F.col("id") % 13).alias("m"),
     )
-    small = running_sum(df, ["g"], "o", "t", F.col("m"), "s")
-    sliced = running_sum(df, ["g"], "o", "t", F.col("m"), "s", rows_per_task=100, slices=8)
-    assert sliced.count() == 4000 and sliced.exceptAll(small.select(*sliced.columns)).count() == 0
+    for kind in ("sum", "last") if slices == 8 else ("sum",):
+        small = running(df, ["g"], ["o", "t"], F.col("m"), "s", kind)
+        sliced = running(df, ["g"], ["o", "t"], F.col("m"), "s", kind, rows_per_task=100, slices=slices)
+        got, want = ({r["t"]: r["s"] for r in d.collect()} for d in (sliced, small))
+        assert len(got) == 4000 and got == want
+
+
+def test_densities_of_a_map_with_very_many_points(spark):
+    rng = np.random.default_rng(5)
+    keep = sorted(rng.choice(np.arange(3, 190), 90, replace=False).tolist())
+    pixels = spark.createDataFrame([("A", "initial", i, 64 + p, float(i)) for i, p in enumerate(keep)], "triggerId string, gcn_status string, row_idx int, uniq long, probdensity double")
+    places = zip(rng.uniform(0, 360, 900), rng.uniform(-90, 90, 900))
+    rows = [("A", "initial", i, float(a), float(d)) for i, (a, d) in enumerate(places)] + [("B", "initial", -1, 1.0, 1.0)]
+    points = spark.createDataFrame(rows, "triggerId string, gcn_status string, i int, ra double, dec double")
+    whole, cut = (sm.skymap_density_at(points, pixels, rows_per_task=n) for n in (10_000, 100))
+    assert whole.columns == [*points.columns, "density"]
+    assert whole.count() == cut.count() == 900 and whole.exceptAll(cut).count() == 0
+
+
+def test_first_match_by_every_column_of_the_order(spark):
+    rng = np.random.default_rng(9)
+    rows = [(f"k{rng.integers(12)}", None if rng.random() < 0.1 else float(rng.integers(3)), int(rng.integers(-2, 2)),
+             None if rng.random() < 0.1 else int(rng.integers(3)), float(i)) for i in range(600)]
+    df = spark.createDataFrame(rows, "objectId string, jd double, candid long, n long, v double")
+    order = ("jd", "candid", "n", "v")
+    low = lambda x: (x is not None, x or 0)
+    want = {k: min((r for r in rows if r[0] == k), key=lambda r: [low(x) for x in r[1:]]) for k in {r[0] for r in rows}}
+    narrow = mt.dedup_matches(df, ("objectId",), order)
+    assert {tuple(r) for r in narrow.collect()} == set(want.values())
+    assert "SortAggregate" not in narrow._jdf.queryExecution().executedPlan().toString()
+    texts = mt.dedup_matches(df.withColumn("t", F.col("objectId")), ("objectId",), order)
+    assert {tuple(r)[:5] for r in texts.collect()} == set(want.values())
 
 
 def test_validate(spark):

@@ -25,7 +25,7 @@ from skyherald.schemas import GRADES as GRADE_NAMES
 from skyherald.session import shared_dir
 from skyherald.sinks.tables import stream_partitioned, write_partitioned
 from skyherald.sources.tables import (
-    alerts_batch, alerts_stream, lookup_notice, matches_stream, notices_batch, notices_stream, raw_notices_files,
+    alerts_batch, alerts_stream, lookup_notice, matches_stream, notices_batch, notices_of_days, notices_stream, raw_notices_files,
 )
 from skyherald.jobs.crossmatch import online_matches, online_sink
 from skyherald.streaming.crossmatch import crossmatch_stream, first_matches_sink, skymap_stream
@@ -1035,7 +1035,7 @@ def _streamed_regions(spark, sf) -> DataFrame:
 def stream_assoc_gw(spark, sf):
     """Streamed alerts with streamed sky maps, over several micro-batches."""
     regions = _streamed_regions(spark, sf).drop("observatory", "ackTime")
-    pairs = skymap_stream(_streamed_alerts(spark, sf), regions, levels=(2, 3), salts=2)
+    pairs = skymap_stream(_streamed_alerts(spark, sf), regions, salts=2)
     day = {n: F.date_format("alert_ts", p) for n, p in (("year", "yyyy"), ("month", "MM"), ("day", "dd"))}
     found = _drain(spark, pairs.select("candid", "triggerId", "density", "alert_ts").withColumns(day))
     return found.select("candid", "triggerId", rnd("density", 9).alias("p_assoc"))
@@ -1049,9 +1049,9 @@ def online_join(spark, sf):
     table = dv.notice_table(spark, sf)
     notices = _in_turn(spark, table, _quarter(table, "ackTime"), 4, "both-notices")
     stored, out = shared_dir(spark, "notice-table"), shared_dir(spark, "online")
-    table.write.parquet(stored)
+    table.write.partitionBy("year", "month", "day").parquet(stored)
     pairs = online_matches(alerts, notices, MATCH, "7 days", regions=_streamed_regions(spark, sf).drop("trigger_ts"))
-    _run_batches(pairs, online_sink(out, lambda s: s.read.parquet(stored), MATCH, mt.MAX_DELAY), spark)
+    _run_batches(pairs, online_sink(out, lambda s, days: notices_of_days(s, stored, days, table.schema), MATCH, mt.MAX_DELAY), spark)
     found = spark.read.parquet(out)
     return found.select("objectId", "candid", "triggerId", "observatory", rnd("p_assoc", 9).alias("p_assoc"), "alert_class")
 
