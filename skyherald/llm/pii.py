@@ -287,7 +287,7 @@ def find_pii(docs: DataFrame, text: str = "text", carry: Sequence[str] | None =
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """Documents with every span of personal data replaced by its kind in brackets; a column `n_chars` follows suit."""
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{text}`").alias("text"))
-    found = find_pii(inner, "text", carry=["doc", "text"])
+    found = find_pii(inner, "text", carry=["doc"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -302,7 +302,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(out, pa.string())], names=["doc", "text"])
 
     kind = f"doc {found.schema['doc'].dataType.simpleString()}, text string"
-    done = found.select("doc", "text", "spans").mapInArrow(run, kind)
+    done = found.select("doc", F.col("doc").getField(text).alias("text"), "spans").mapInArrow(run, kind)
     size = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
     fresh = {text: F.col("text")} | size
     return done.select(*[fresh.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])
