@@ -12,6 +12,7 @@ from skyherald.functions import probability as pr
 from skyherald.functions import sky
 from skyherald.functions.time import from_jd, iso_utc, night_bounds, partition_cols, to_jd
 from skyherald.operators import alerts as al
+from skyherald.operators import contract as ct
 from skyherald.operators import grade as gr
 from skyherald.operators import match as mt
 from skyherald.operators import notices as nt
@@ -20,7 +21,7 @@ from skyherald.operators import skymap as sm
 from skyherald.operators.validate import ALERT_RULES, NOTICE_RULES, validate
 from skyherald.plans.sizing import computed_once
 from skyherald.plans.crossmatch import crossmatch_night
-from skyherald.schemas import DISTRIBUTION
+from skyherald.schemas import LC_FEATURES
 from skyherald.schemas import GRADES as GRADE_NAMES
 from skyherald.session import shared_dir
 from skyherald.sinks.tables import stream_partitioned, write_partitioned
@@ -823,14 +824,79 @@ def distribution_projection(spark, sf):
     )
 
 
-@query("""select (1 + event_id % 2)::int as fid, count(*) as records, 0::bigint as wrong_types from events
-  where event_type <> 'error' group by 1""")
+# the science columns that the derived alerts lack, as functions of the alert's number; every feature has its own gaps
+_TEXTS = ("DR3Name", "gcvs", "vsx", "x3hsp", "x4lac", "observatory", "instrument", "event", "triggerId", "gcn_status", "raw_event", "alert_class")
+_NUMBERS = ("anomaly_score", "sigma_rate", "lower_rate", "upper_rate", "delta_time", "jdstarthist_dt", "gcn_ra", "gcn_dec", "p_assoc")
+
+
+def _complete_records(spark, sf) -> DataFrame:
+    """Every alert as a record with all fields of the distribution contract."""
+    d = _records(spark, sf).drop("event_ts", "cutoutScience", "schemavsn")
+
+    def features(name: str) -> Column:
+        given = {"amplitude", "mean"}
+        return F.struct(*[
+            F.col(f"{name}.{f}") if f in given
+            else F.when(F.col("candid") % (i + 5) != 0, (F.col("candid") % (i + 7)).cast("double")).alias(f)
+            for i, f in enumerate(LC_FEATURES.names)
+        ])
+
+    return d.withColumns({
+        **{n: F.when(F.col("candid") % (i + 2) != 0, F.concat(F.lit(n), F.col("candid") % 3)) for i, n in enumerate(_TEXTS)},
+        **{n: F.when(F.col("candid") % (i + 3) != 0, (F.col("candid") % 11).cast("double")) for i, n in enumerate(_NUMBERS)},
+        "nalerthist": (F.col("candid") % 40).cast("int"), "from_upper": F.col("candid") % 2 == 0,
+        **{n: features(n) for n in ("lc_features_g", "lc_features_r")},
+    })
+
+
+_GAPS = " + ".join(
+    [f"(event_id % {i + 2} <> 0)::int" for i in range(len(_TEXTS))] + [f"(event_id % {i + 3} <> 0)::int" for i in range(len(_NUMBERS))]
+    + [f"2 * (event_id % {i + 5} <> 0)::int" for i, f in enumerate(LC_FEATURES.names) if f not in ("amplitude", "mean")]
+)
+# what every derived record holds: 10 of the alert's position and photometry, radius and time, 14 science columns, and two
+# features in either band
+_OWN = 10 + 2 + 14
+
+
+@query(f"""select (1 + event_id % 2)::int as fid, count(*) as records, {len(_TEXTS) + len(_NUMBERS) + _OWN + 2 * 26} as fields, 0 as missing, 0 as mistyped,
+  0 as unexpected, sum({_OWN + 2 * 2} + {_GAPS})::bigint as filled from events where event_type <> 'error' group by 1""")
 def distribution_schema(spark, sf):
-    """Records per band, and how many of the projected columns depart from the contract in type (the derived light-curve
-    features have a part of the contract's fields)."""
-    d = gr.distribution_projection(_records(spark, sf))
-    wrong = [x for x in gr.schema_differences(d, DISTRIBUTION) if " is " in x and not x.startswith("lc_features")]
-    return d.groupBy("fid").agg(F.count("*").alias("records"), F.lit(len(wrong)).cast("bigint").alias("wrong_types"))
+    """The records against the contract, which is read from its text: fields of the contract, those that are missing, of a
+    wrong type or not in the contract, at any depth, and per band how many values the records bring."""
+    d = gr.distribution_projection(_complete_records(spark, sf))
+    contract = ct.read_contract(ct.distribution_contract())
+    kinds = [x.kind for x in ct.differences(d.schema, contract)]
+    counted = [F.lit(kinds.count(k)).alias(k) for k in ("missing", "mistyped", "unexpected")]
+    values = ct.resolved(d, contract).select("fid", ct.filled(contract).alias("filled"))
+    return values.groupBy("fid").agg(
+        F.count("*").alias("records"), F.lit(len(ct.leaves(contract))).alias("fields"), *counted, F.sum("filled").alias("filled"),
+    )
+
+
+# a reader's contract that is older than the records: wider numbers, a field with a default, a shorter feature record
+_READER = """{"type": "record", "name": "reader", "fields": [
+  {"name": "candid", "type": "double"}, {"name": "fid", "type": ["long", "null"]}, {"name": "survey", "type": "string", "default": "none"},
+  {"name": "lc_features_g", "type": [{"type": "record", "name": "curve", "fields": [
+    {"name": "mean", "type": ["double", "null"]}, {"name": "period", "type": "double", "default": -1.0}]}, "null"]},
+  {"name": "lc_features_r", "type": ["curve", "null"]},
+  {"name": "classes", "type": {"type": "array", "items": "string"}, "default": ["unset"]},
+  {"name": "mangrove", "type": [{"type": "map", "values": ["string", "null"]}, "null"]}]}"""
+
+
+@query(f"""select event_id::double as candid, (1 + event_id % 2)::bigint as fid, 'none' as survey, round({_tenth(19, 7)}, 6) as mean_g,
+  round({_tenth(19, 7)}, 6) as mean_r, -1::double as period, 'unset' as classes, (event_id % 90)::varchar as lum_dist,
+  'bigint double' as promoted from events where event_type <> 'error'""")
+def contract_resolution(spark, sf):
+    """Records as a reader with a contract of its own receives them, by Avro's resolution rules."""
+    d = gr.distribution_projection(_complete_records(spark, sf))
+    contract = ct.read_contract(_READER)
+    r = ct.resolved(d, contract)
+    promoted = [x for x in ct.differences(d.schema, contract) if x.path == "candid" and x.kind == "promoted"]
+    return r.select(
+        "candid", "fid", "survey", rnd("lc_features_g.mean").alias("mean_g"), rnd("lc_features_r.mean").alias("mean_r"),
+        F.col("lc_features_g.period").alias("period"), F.array_join("classes", ",").alias("classes"),
+        F.col("mangrove")["lum_dist"].alias("lum_dist"), F.lit(" ".join(f"{x.have} {x.want}" for x in promoted)).alias("promoted"),
+    )
 
 
 @query(f"""select event_id as candid, json as body from (select event_id, '{{"candid":' || event_id || ',"fid":' || (1 + event_id % 2) || ',"cdsxmatch":"'
