@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from skyherald.jobs import ingest
 from skyherald.functions import sky
-from skyherald.jobs.crossmatch import main as crossmatch_job, online_matches, online_sink
+from skyherald.functions.time import from_jd
+from skyherald.jobs.crossmatch import main as crossmatch_job, online_matches, online_sink, store_late
 from skyherald.operators.grade import grade_flags, schema_differences, distribution_projection
 from skyherald.operators import notices as nt
 from skyherald.plans.crossmatch import crossmatch_night
@@ -19,7 +20,8 @@ from skyherald.schemas import DISTRIBUTION, GRADES, MATCH as MATCH_SCHEMA
 from skyherald.sinks.tables import write_partitioned
 from skyherald.sources.tables import require_notice
 from skyherald.streaming.crossmatch import first_matches_sink, skymap_stream
-from skyherald.streaming.run import bounded_run
+from skyherald.streaming.late import file_watermarks
+from skyherald.streaming.run import ProgressLog, bounded_run
 from skyherald.streaming.status import numbered_sink
 from skyherald.jobs.config import load
 from workload import derive as dv
@@ -148,6 +150,54 @@ def test_online_equals_batch_within_the_window(spark, sf, tmp_path):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0 and want.count() > 0
 
 
+def test_late_rows_are_found_and_matched(spark, sf, tmp_path):
+    """Notices and alerts that the watermark refused are in the side tables, and the table ends as the batch form's."""
+    alerts, notices = wide_alerts(spark, sf), dv.notices(spark, sf).withColumn("event_type", F.lit("alert")).drop("trigger_no")
+    for frame, name, old in ((alerts, "a", F.dayofmonth(from_jd(F.col("candidate.jd"))) == 7), (notices, "n", F.dayofmonth(from_jd(F.col("triggerTimejd"))) < 9)):
+        new = F.xxhash64(F.to_json(F.struct(*[c for c in ("candid", "triggerId") if c in frame.columns]))) % 2 == 0
+        for part in (~old & new, ~old & ~new, old):  # what is old comes last
+            frame.filter(part).coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+    a, n = (spark.readStream.schema(f.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / x)) for f, x in ((alerts, "a"), (notices, "n")))
+    stored_alerts, stored_notices = (spark.read.schema(f.schema).parquet(str(tmp_path / x)) for f, x in ((alerts, "a"), (notices, "n")))
+    log = ProgressLog(spark, str(tmp_path / "progress"))
+    spark.streams.addListener(log)
+    sink = online_sink(str(tmp_path / "online"), lambda s, days: stored_notices, MATCH, 60)
+    query = online_matches(a, n, MATCH, "60 days").writeStream.queryName("matches").foreachBatch(sink)
+    bounded_run(query.option("checkpointLocation", str(tmp_path / "online_checkpoint")).trigger(availableNow=True).start())
+    assert log.ended.wait(60)
+    spark.streams.removeListener(log)
+    dropped = spark.read.parquet(str(tmp_path / "progress")).agg(F.sum("dropped_late")).first()[0]
+    key = ["objectId", "triggerId"]
+    want = crossmatch_night(alerts, notices, dataclasses.replace(MATCH, max_delay=60.0), with_raw=False).select(*key)
+    before = spark.read.parquet(str(tmp_path / "online")).select(*key)
+    assert dropped > 0 and before.exceptAll(want).count() == 0 and want.exceptAll(before).count() > 0
+    for _ in range(2):  # a rerun adds nothing
+        store_late(spark, str(tmp_path), stored_alerts, stored_notices, MATCH, 60)
+        got = spark.read.parquet(str(tmp_path / "online")).select(*key)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    late = spark.read.parquet(str(tmp_path / "late_notices"))
+    refused = notices.filter(F.dayofmonth(from_jd(F.col("triggerTimejd"))) < 9)
+    assert refused.count() > 0 and refused.exceptAll(late).count() == 0
+    assert late.exceptAll(notices).count() == 0 and spark.read.parquet(str(tmp_path / "late_alerts")).count() > 0
+
+
+def test_files_without_progress_meet_the_highest_watermark(spark, tmp_path):
+    for source, step, files in ((0, "0", ["a"]), (0, "1", ["b"]), (1, "0", ["c"]), (1, "2.compact", ["c", "d"])):
+        folder = tmp_path / "log" / "sources" / str(source)
+        folder.mkdir(parents=True, exist_ok=True)
+        at = {"a": 0, "b": 1, "c": 0, "d": 2}
+        (folder / step).write_text("v1\n" + "\n".join(json.dumps({"path": f"file:///x/{f}", "timestamp": 1, "batchId": at[f]}) for f in files))
+    step = lambda s, e: {"startOffset": None if s is None else {"logOffset": s}, "endOffset": {"logOffset": e}}
+    rows = [
+        (0, "1970-01-01T00:00:00.000Z", [step(None, 0), step(None, 0)]), (1, "2024-01-05T00:00:00.000Z", [step(0, 1), step(0, 0)]),
+        (2, "2024-01-09T00:00:00.000Z", [step(1, 1), step(0, 0)]),
+    ]
+    bodies = [("q", json.dumps({"batchId": b, "eventTime": {"watermark": w}, "sources": s})) for b, w, s in rows]
+    progress = spark.createDataFrame(bodies, "query string, body string")
+    got = {r.file: str(r.w) for r in file_watermarks(spark, str(tmp_path / "log"), progress, "q").selectExpr("file", "date(watermark) w").collect()}
+    assert got == {"file:/x/a": "1970-01-01", "file:/x/b": "2024-01-05", "file:/x/c": "1970-01-01", "file:/x/d": "2024-01-09"}
+
+
 def test_streamed_maps_of_any_level(spark, tmp_path):
     """Pixels of levels 0 to 29 find the alerts that lie in them, and no other."""
     rng = np.random.default_rng(2)
