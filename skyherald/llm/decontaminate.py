@@ -3,10 +3,13 @@
 Texts and items are normalised (lower case, runs of other than letters and digits are one space). An item of m
 characters may be matched with k = floor(error_rate * m) edits anywhere in a document. Cut into k + 1 pieces, at
 least one piece of a matched item is free of edits, so an exact multi-pattern search (Aho-Corasick) for all pieces finds
-every place worth a look; the stretch around it is verified with Myers' bit-parallel edit distance.
+every place worth a look; the stretch around it is verified with Myers' bit-parallel edit distance. Items too short for an edit
+(k = 0) are only found as whole words, so that "yes" is not found in "eyes".
 
 Items are searched in blocks of at most `block_chars` characters: a block, not the benchmark, is what a task holds and
-what the driver sends. Every document is scanned in full against every block; documents are not shuffled.
+what the driver sends. Every document is scanned in full against every block. One block is one pass over the documents,
+which are not shuffled. With more, each block is a job of its own that writes only what it finds, under the SHA-256 of the
+text; a text's finds of all blocks, once however many copies it has, then join the documents by it.
 
 Defined results: null and empty texts match nothing, items that are null or without a letter or digit are never matched;
 equal rows and equal items each count; an empty benchmark leaves every document clean.
@@ -14,8 +17,10 @@ equal rows and equal items each count; an empty benchmark leaves every document
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import ahocorasick
 import pyarrow as pa
@@ -23,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from skyherald.llm.common import carried, released
+from skyherald.llm.common import carried, released, stored
 
 ERROR_RATE = 0.08
 BLOCK_CHARS = 4_000_000
@@ -76,6 +81,11 @@ def myers(eq: dict[str, int], m: int, text: str, anchored: bool = False) -> tupl
     return best, end
 
 
+def whole_words(text: str, start: int, end: int) -> bool:
+    """Whether a stretch of a normalised text begins and ends with a word."""
+    return (start == 0 or text[start - 1] == " ") and (end == len(text) or text[end] == " ")
+
+
 class Block:
     """Pieces of a block of items in one automaton."""
 
@@ -109,6 +119,8 @@ class Block:
                     continue
                 tried.add((i, begin))
                 key, item, budget, eq = self.items[i]
+                if not budget and not whole_words(text, begin, begin + len(item)):
+                    continue
                 low = max(0, begin - budget)
                 distance, end = myers(eq, len(item), text[low : begin + len(item) + budget])
                 if distance <= budget and (distance, low + end) < found.get(i, (budget + 1, 0)):
@@ -122,23 +134,40 @@ class Block:
         return out
 
 
-def _scan(items: list[tuple[object, str]], error_rate: float, key_type: pa.DataType, keep_text: bool):
-    kind = pa.list_(pa.struct([
-        ("item_id", key_type), ("distance", pa.int32()), ("start", pa.int64()), ("end", pa.int64())
-    ]))
+def _kind(key_type: pa.DataType) -> pa.DataType:
+    return pa.list_(pa.struct([("item_id", key_type), ("distance", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
+
+
+def _matches(block: Block, text: str | None) -> list[dict]:
+    return [dict(zip(("item_id", "distance", "start", "end"), h, strict=True)) for h in block.search(normal(text))]
+
+
+def _scan(items: list[tuple[object, str]], error_rate: float, key_type: pa.DataType):
+    """The rows with their matches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = Block(items, error_rate)
+        for batch in batches:
+            out = [_matches(block, text.as_py()) for text in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, _kind(key_type))], names=["row", "matches"])
+
+    return run
+
+
+def _finds(items: list[tuple[object, str]], error_rate: float, key_type: pa.DataType):
+    """Of the texts with a match the digest and the matches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = Block(items, error_rate)
         for batch in batches:
-            before = batch.column("matches").to_pylist()
-            out = []
-            for text, already in zip(batch.column("text"), before, strict=True):
-                hits = block.search(normal(text.as_py()))
-                out.append((already or []) + [dict(zip(("item_id", "distance", "start", "end"), h, strict=True)) for h in hits])
-            arrays, names = [batch.column("row"), pa.array(out, kind)], ["row", "matches"]
-            if keep_text:
-                arrays, names = [*arrays, batch.column("text")], [*names, "text"]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            digests, out = [], []
+            for value in batch.column("text"):
+                text = value.as_py()
+                hits = _matches(block, text)
+                if hits:
+                    digests.append(hashlib.sha256(text.encode()).hexdigest())
+                    out.append(hits)
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.string()), pa.array(out, _kind(key_type))], names=["digest", "found"])
 
     return run
 
@@ -157,14 +186,27 @@ def find_contamination(
     rows = carried(docs, text)
     held = F.struct(*[F.col("row").getField(c).alias(c) for c in carry]).alias("row")
     match_kind = f"array<struct<item_id: {id_kind.simpleString()}, distance: int, start: long, end: long>>"
-    found = rows.select(held, F.lit(None).cast(match_kind).alias("matches"), F.col(f"in_{text}").alias("text"))
-    row_kind = f"row {found.schema['row'].dataType.simpleString()}, matches {match_kind}"
-    for b in range(blocks):
+    found = rows.select(held, F.col(f"in_{text}").alias("text"))
+
+    def items_of(b: int) -> list[tuple[object, str]]:
         # about half a block's characters; the list is of that size, whatever the benchmark's
-        block = sorted(((r["id"], r["t"]) for r in dealt.filter(F.col("block") == b).collect()), key=str)
-        last = b == blocks - 1
-        scan = _scan(block, error_rate, to_arrow_type(id_kind), keep_text=not last)
-        found = found.mapInArrow(scan, row_kind + ("" if last else ", text string"))
+        return sorted(((r["id"], r["t"]) for r in dealt.filter(F.col("block") == b).collect()), key=str)
+
+    if blocks == 1:
+        row_kind = f"row {found.schema['row'].dataType.simpleString()}, matches {match_kind}"
+        found = found.mapInArrow(_scan(items_of(0), error_rate, to_arrow_type(id_kind)), row_kind)
+    else:
+        dealt, parts = stored(dealt, "benchmark-blocks"), []
+        for b in range(blocks):
+            scan = _finds(items_of(b), error_rate, to_arrow_type(id_kind))
+            hits = found.select("text").mapInArrow(scan, f"digest string, found {match_kind}")
+            parts.append(stored(hits.withColumn("block", F.lit(b)), "benchmark-finds"))
+        # copies of a text find the same: one row per text and block, at most `blocks` rows per text
+        once = reduce(DataFrame.union, parts).dropDuplicates(["digest", "block"])
+        of_text = once.groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("block", "found"))).alias("blocks"))
+        of_text = of_text.select("digest", F.flatten(F.transform("blocks", lambda x: x["found"])).alias("found"))
+        joined = found.withColumn("digest", F.sha2("text", 256)).drop("text").join(of_text, "digest", "left")
+        found = joined.select("row", F.coalesce("found", F.array().cast(match_kind)).alias("matches"))
     return released(found, carry, {"contaminated": F.size("matches") > 0, "matches": F.col("matches")})
 
 

@@ -3,7 +3,7 @@
 Learning counts hashed letter trigrams, bigrams and whole words per language over all labelled texts: a table of fixed
 size per language, summed by Spark with map-side aggregation. Scripts seen in a language's texts are counted as well.
 
-For a text, each run of letters is a word. The script of its letters, by code point ranges, narrows the languages; each
+For a text, each run of letters and marks with a letter is a word. The script of its letters, by code point ranges, narrows the languages; each
 remaining language scores the word by its log-probabilities; and a Viterbi pass over the words, with a penalty for each
 change of language, labels spans of mixed text. The text's language is the one with most letters.
 
@@ -50,18 +50,20 @@ SCRIPT_SHARE = 0.001
 
 
 @lru_cache(maxsize=1)
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """Per code point: the lower-cased letter (0 for what is no letter or mark), and the script."""
-    letter = np.zeros(0x110000, dtype=np.uint32)
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per code point: the lower-cased letter (0 for what is no letter or mark), the script, and whether it is a letter."""
+    letter, own = np.zeros(0x110000, dtype=np.uint32), np.zeros(0x110000, dtype=bool)
     for c in range(0x110000):
-        if unicodedata.category(chr(c))[0] in "LM":
+        kind = unicodedata.category(chr(c))[0]
+        own[c] = kind == "L"
+        if kind in "LM":
             low = chr(c).lower()
             letter[c] = ord(low) if len(low) == 1 else c
     script = np.zeros(0x110000, dtype=np.uint8)
     for i, (_, ranges) in enumerate(SCRIPTS, 1):
         for a, b in ranges:
             script[a : b + 1] = i
-    return letter, script
+    return letter, script, own
 
 
 @dataclass
@@ -87,13 +89,18 @@ def _hash(*parts: np.ndarray) -> np.ndarray:
 
 
 def letters_of(texts: Sequence[str]) -> Letters:
-    letter, script = _tables()
+    letter, script, own = _tables()
     # a line break parts the texts; lone surrogates cannot occur in Arrow strings
     codes = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le"), dtype=np.uint32)
     sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
     offset = np.cumsum(sizes) - sizes
     low = np.concatenate([[0], letter[codes], [0]]).astype(np.uint32)
     at = np.flatnonzero(low)
+    begins = np.flatnonzero(low[at - 1] == 0)
+    if len(begins):
+        # marks alone are no word
+        real = np.logical_or.reduceat(own[codes[at - 1]], begins)
+        at = at[np.repeat(real, np.diff(np.append(begins, len(at))))]
     before, here, after = low[at - 1], low[at], low[at + 1]
     bigram = (_hash(before, here) % np.uint64(BUCKETS)).astype(np.int32)
     trigram = (_hash(before, here, after) % np.uint64(BUCKETS)).astype(np.int32)

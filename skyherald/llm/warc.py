@@ -209,8 +209,14 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                             rows = []
                 yield _index_batch(rows)
 
-    one_each = archives.repartition(F.col("archive"))
-    return stored(one_each.select("archive").mapInArrow(run, INDEX_DDL), "archive-index")
+    # adaptive execution would merge the few bytes of all names into one task; an explicit number stays
+    apart = archives.select("archive").repartitionByRange(_tasks(archives, archives.count()), "archive")
+    return stored(apart.mapInArrow(run, INDEX_DDL), "archive-index")
+
+
+def _tasks(df: DataFrame, archives: int) -> int:
+    """Tasks for so many archives: one each while they are few, later at most 16 in one."""
+    return max(1, min(archives, max(4 * df.sparkSession.sparkContext.defaultParallelism, -(-archives // 16))))
 
 
 _INDEX = pa.schema([
@@ -266,7 +272,9 @@ def read_records(index: DataFrame, with_payload: bool = True) -> DataFrame:
         if stream is not None:
             stream.close()
 
-    ordered = index.repartition(F.col("archive")).sortWithinPartitions("archive", "offset")
+    # ranges of records, as many as archives ask for: an index is small beside what it points to
+    tasks = _tasks(index, index.select("archive").distinct().count())
+    ordered = index.repartitionByRange(tasks, "archive", "offset").sortWithinPartitions("archive", "offset")
     return ordered.mapInArrow(run, INDEX_DDL + ", payload binary")
 
 
