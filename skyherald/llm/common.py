@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyherald.session import shared_dir
@@ -21,6 +22,21 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path + "/rows")
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: str) -> Iterator[None]:
+    """Actions inside give Python workers Arrow batches of at most so many bytes: what a task holds is bounded."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def words(text: Column) -> Column:
     """Words `[^\\x20\\x09-\\x0D]+` of a text as an array; a null text has none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
