@@ -1,14 +1,17 @@
 """Licence scans: Dice coefficient over word bigrams against templates, with size bounds.
 
-A text's lines, and its paragraphs of several lines, are compared with each template as sets of word bigrams. Dice is
+A text's lines, its paragraphs of several lines, and runs of up to RUN neighbouring sentences of a paragraph (so that a
+notice inside a longer line or wrapped in a comment is seen) are compared with each template as sets of word bigrams. Dice is
 2 |A and B| / (|A| + |B|), so it can only reach `least` if the sizes a, b of the sets satisfy
 b between a * least / (2 - least) and a * (2 - least) / least. Templates are therefore filed by every set size they can
-match; a line looks up the few templates of its own size, and a line whose size no template admits is left at once.
+match; a line looks up the few templates of its own size, and a line whose size no template admits is left at once. By the
+same bound a match shares two thirds of a template's bigrams (at 0.8), so a text that holds none of a chosen third of them
+(`required`) has no match and is not cut up at all. Of the templates one unit matches, those with the best value count.
 
 Everything is an expression on the document's row: no join, no shuffle, no Python.
 
 Defined results: a null or empty text has no licence; equal rows are scanned each; other columns are kept, a result
-column replaces one of its name; of equal matches in one text the first counts, in the order line before paragraph.
+column replaces one of its name; templates of equal best value in a unit all count.
 """
 
 from __future__ import annotations
@@ -23,6 +26,9 @@ from pyspark.sql import functions as F
 from skyherald.llm.common import carried, let, released
 
 LEAST = 0.8
+RUN = 4  # neighbouring sentences compared as one unit
+# an end of a sentence; a version number ("2.0") has none inside
+SENTENCE_END = r"""[.!?]+["')\]]*([ \t\n\r]|\z)"""
 # fixed values: public licence notices as they are used in source files and texts
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
@@ -51,6 +57,16 @@ TEMPLATES = (
                 "MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights "
                 "to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
@@ -71,6 +87,20 @@ def filed(templates: Sequence[tuple[str, str]], least: float) -> list[list[tuple
     return [[(name, b) for name, b in sets if n and fits(n, len(b))] for n in range(top + 1)]
 
 
+def required(templates: Sequence[tuple[str, str]], least: float) -> list[str]:
+    """Bigrams of which a text with a match holds at least one.
+
+    A match of a template of b bigrams shares at least b * least / (2 - least) of them, so it cannot miss all of any set
+    of one more than the rest; the longest bigrams, which are the rarest, make that set.
+    """
+    out = set()
+    for _, text in templates:
+        b = template_bigrams(text)
+        shared = math.ceil(len(b) * least / (2 - least) - 1e-9)
+        out.update(sorted(b, key=lambda x: (-len(x), x))[: len(b) - shared + 1])
+    return sorted(out)
+
+
 def _literal(files: list[list[tuple[str, list[str]]]]) -> Column:
     kind = "array<struct<name: string, bigrams: array<string>>>"
     one = lambda name, b: F.struct(F.lit(name).alias("name"), F.array(*map(F.lit, b)).alias("bigrams"))
@@ -92,12 +122,29 @@ def _matches(unit: Column, files: Column, least: float) -> Column:
             return F.struct(t.getField("name").alias("name"), value.alias("dice"))
 
         candidates = F.coalesce(F.get(files, F.size(bigrams)), F.array().cast("array<struct<name: string, bigrams: array<string>>>"))
-        return F.filter(F.transform(candidates, dice), lambda m: m.getField("dice") >= least)
+        best = lambda ms: F.greatest(F.array_max(F.transform(ms, lambda m: m.getField("dice"))), F.lit(float(least)))
+        return let(F.transform(candidates, dice), lambda ms: let(best(ms), lambda top: F.filter(ms, lambda m: m.getField("dice") >= top)))
 
     # words can only repeat bigrams: more words than twice the largest set are still compared, fewer than two are not
     return let(F.split(F.btrim(unit), r"[ \n]+"), lambda w: F.when(F.size(w) < 2, none).otherwise(compared(w)))
 
 
+def _units(t: Column, marked: Column) -> Column:
+    """Lines, paragraphs of several lines, and runs of sentences (`marked` has a bar at the end of each) of a text."""
+
+    def runs(paragraph: Column) -> Column:
+        starts = lambda s: F.sequence(F.lit(1), F.size(s))
+        from_start = lambda s, i: F.transform(
+            F.sequence(F.lit(1), F.least(F.lit(RUN), F.size(s) - i + 1)), lambda k: F.array_join(F.slice(s, i, k), " ")
+        )
+        return let(F.split(paragraph, r"\|"), lambda s: F.flatten(F.transform(starts(s), lambda i: from_start(s, i))))
+
+    return F.concat(
+        F.split(t, "\n"), F.filter(F.split(t, r"\n *\n"), lambda p: F.btrim(p).contains("\n")),
+        F.flatten(F.transform(F.split(marked, r"\n *\n"), runs)),
+    )
+
+
 def license_scan(
     docs: DataFrame, text: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES, least: float = LEAST,
     carry: Sequence[str] | None = None,
@@ -107,11 +154,12 @@ def license_scan(
     files = _literal(filed(templates, least))
     rows = carried(docs, text)
     held = F.struct(*[F.col("row").getField(c).alias(c) for c in carry]).alias("row")
-    plain = F.regexp_replace(F.lower(F.coalesce(F.col(f"in_{text}"), F.lit(""))), r"[^a-z0-9\n]+", " ")
-    units = F.concat(
-        F.split("t", "\n"), F.filter(F.split("t", r"\n *\n"), lambda p: F.btrim(p).contains("\n"))
-    )
-    shown = rows.select(held, plain.alias("t")).select("row", units.alias("units"))
+    plain = F.lower(F.coalesce(F.col(f"in_{text}"), F.lit("")))
+    marked = F.regexp_replace(F.regexp_replace(F.translate("plain", "|", " "), SENTENCE_END, "|$1"), r"[^a-z0-9\n|]+", " ")
+    ask = r"\b(?:" + "|".join(b.replace(" ", r"[ \n]+") for b in required(templates, least)) + r")\b"
+    shown = rows.select(held, plain.alias("plain")).select("row", "plain", F.regexp_replace("plain", r"[^a-z0-9\n]+", " ").alias("t"))
+    units = F.when(F.col("t").rlike(ask), _units(F.col("t"), marked)).otherwise(F.array().cast("array<string>"))
+    shown = shown.select("row", units.alias("units"))
     found = shown.select("row", F.flatten(F.transform("units", lambda u: _matches(u, files, least))).alias("found"))
     best = lambda name: F.array_max(F.transform(
         F.filter("found", lambda m: m.getField("name") == name), lambda m: m.getField("dice")

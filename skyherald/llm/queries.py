@@ -69,7 +69,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _license_sql() -> str:
-    """The same comparison in SQL, without the size bounds."""
+    """The same comparison in SQL, without the size bounds and the required bigrams."""
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
     values = ", ".join(f"({i}, {quoted(n)}, {quoted(t)})" for i, (n, t) in enumerate(lc.TEMPLATES))
     clean = "trim(regexp_replace(regexp_replace(lower({}), '[^a-z0-9\\n]+', ' ', 'g'), '[ \\n]+', ' ', 'g'))"
@@ -79,20 +79,31 @@ def _license_sql() -> str:
     return f"""
     with t as (select i, name, string_split({clean.format('txt')}, ' ') w from (values {values}) v(i, name, txt)),
     tb as (select i, name, {pairs} b from t),
-    n as (select doc_id, regexp_replace(lower(coalesce(text, '')), '[^a-z0-9\n]+', ' ', 'g') t from documents),
+    l as (select doc_id, lower(coalesce(text, '')) l from documents),
+    n as (
+      select doc_id, regexp_replace(l, '[^a-z0-9\n]+', ' ', 'g') t, regexp_replace(
+        regexp_replace(translate(l, '|', ' '), {quoted(lc.SENTENCE_END)}, '|\\1', 'g'), '[^a-z0-9\n|]+', ' ', 'g') q from l
+    ),
+    s as (select doc_id, string_split(unnest(regexp_split_to_array(q, '\n *\n')), '|') s from n),
+    i as (select doc_id, s, unnest(range(1, len(s) + 1)) i from s),
     u as (
       select doc_id, unnest(string_split(t, chr(10))) u from n
       union all
       select doc_id, u from (select doc_id, unnest(regexp_split_to_array(t, '\n *\n')) u from n)
       where contains(trim(u), chr(10))
+      union all
+      select doc_id, array_to_string(s[i:i + k - 1], ' ') from i, range(1, {lc.RUN + 1}) r(k) where i + k - 1 <= len(s)
     ),
-    w as (select doc_id, string_split(trim(regexp_replace(u, '[ \n]+', ' ', 'g')), ' ') w from u),
-    ub as (select doc_id, {pairs} b from w where len(w) >= 2),
+    w as (select distinct doc_id, string_split(trim(regexp_replace(u, '[ \n]+', ' ', 'g')), ' ') w from u),
+    ub as (select row_number() over () unit, doc_id, {pairs} b from w where len(w) >= 2),
     m as (
-      select doc_id, name, 2.0::double * len(list_intersect(ub.b, tb.b)) / (len(ub.b) + len(tb.b)) dice
+      select unit, doc_id, name, 2.0::double * len(list_intersect(ub.b, tb.b)) / (len(ub.b) + len(tb.b)) dice
       from ub join tb on list_has_any(ub.b, tb.b)
     ),
-    best as (select doc_id, name, max(dice) dice from m where dice >= {lc.LEAST} group by all)
+    best as (
+      select doc_id, name, max(dice) dice from (select * from m where dice >= {lc.LEAST}
+        qualify dice = max(dice) over (partition by unit)) group by all
+    )
     select d.doc_id, coalesce(string_agg(name, ',' order by name), '') licenses, count(name) n_licenses,
       coalesce(round(max(dice), 6), 0.0) best_dice
     from documents d left join best b on d.doc_id = b.doc_id group by d.doc_id"""
