@@ -12,12 +12,18 @@ BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 256 << 20
 # an ordered group with more rows than this is not given to a single task
 ROWS_PER_TASK = 2_000_000
+# source rows that a task is given where each becomes a packet or a whole sky map
+SPREAD_ROWS = 50_000
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a table whose files give fewer tasks than there are cores; larger tables stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def spread(df: DataFrame, rows_per_task: int = SPREAD_ROWS) -> DataFrame:
+    """Round-robin a table of small files or compact rows, so that every core has a task and no task more than about
+    `rows_per_task` rows, however many the table has; a table whose files give as many tasks stays as it is.
+
+    The rows are counted from the files' footers.
+    """
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows_per_task))
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
 
 
 def computed_once(df: DataFrame, *columns: str) -> DataFrame:
