@@ -65,6 +65,8 @@ def summarise(uniq: np.ndarray, density: np.ndarray, prob: float = 0.9) -> tuple
 def decode_skymap(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     """base64 FITS text -> struct of arrays, peak and credible area; null for a missing, damaged or empty map."""
 
+    seen: dict = {}
+
     def decode(text):
         if text is None:
             return None, None, None, None, None
@@ -72,7 +74,7 @@ def decode_skymap(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             data = base64.b64decode(text)
             if data[:2] == b"\x1f\x8b":
                 data = zlib.decompress(data, wbits=31)
-            t = fits.read_table(data, ["UNIQ", "PROBDENSITY"])
+            t = fits.read_table(data, ["UNIQ", "PROBDENSITY"], seen)
             uniq, density = t["UNIQ"].astype("int64"), t["PROBDENSITY"].astype("float64")
             if not len(uniq) or uniq.min() < 4 or not np.isfinite(density).all():
                 raise ValueError("not a sky map")

@@ -20,6 +20,8 @@ SETTINGS = {
     # year/month/day stay strings with their leading zero
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a Python worker holds a batch and what it makes of it: texts of sky maps take kilobytes a row
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 

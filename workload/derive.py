@@ -11,7 +11,7 @@ import base64
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -242,8 +242,8 @@ def skymap_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fits_bytes(uniq: np.ndarray, density: np.ndarray) -> bytes:
-    """A minimal FITS file with one binary table (UNIQ, PROBDENSITY)."""
+def fits_headers(rows: int) -> bytes:
+    """The headers of a minimal FITS file with one binary table (UNIQ, PROBDENSITY)."""
 
     def cards(*lines: str) -> bytes:
         text = "".join(line.ljust(80) for line in (*lines, "END"))
@@ -253,30 +253,31 @@ def fits_bytes(uniq: np.ndarray, density: np.ndarray) -> bytes:
         shown = f"'{value}'" if isinstance(value, str) and value not in "TF" else value
         return f"{key:<8}= {shown:>20}"
 
+    return cards(card("SIMPLE", "T"), card("BITPIX", 8), card("NAXIS", 0), card("EXTEND", "T")) + cards(
+        card("XTENSION", "BINTABLE"), card("BITPIX", 8), card("NAXIS", 2), card("NAXIS1", 16),
+        card("NAXIS2", rows), card("PCOUNT", 0), card("GCOUNT", 1), card("TFIELDS", 2),
+        card("TTYPE1", "UNIQ"), card("TFORM1", "K"), card("TTYPE2", "PROBDENSITY"), card("TFORM2", "D"),
+    )
+
+
+def fits_bytes(uniq: np.ndarray, density: np.ndarray, headers: bytes | None = None) -> bytes:
+    """A minimal FITS file with one binary table (UNIQ, PROBDENSITY); `headers` are those of so many rows, made before."""
     rows = np.empty(len(uniq), np.dtype([("u", ">i8"), ("d", ">f8")]))
     rows["u"], rows["d"] = uniq, density
     body = rows.tobytes()
-    return (
-        cards(card("SIMPLE", "T"), card("BITPIX", 8), card("NAXIS", 0), card("EXTEND", "T"))
-        + cards(
-            card("XTENSION", "BINTABLE"), card("BITPIX", 8), card("NAXIS", 2), card("NAXIS1", 16),
-            card("NAXIS2", len(uniq)), card("PCOUNT", 0), card("GCOUNT", 1), card("TFIELDS", 2),
-            card("TTYPE1", "UNIQ"), card("TFORM1", "K"), card("TTYPE2", "PROBDENSITY"), card("TFORM2", "D"),
-        )
-        + body.ljust(-(-len(body) // 2880) * 2880, b"\0")
-    )
+    return (headers or fits_headers(len(uniq))) + body.ljust(-(-len(body) // 2880) * 2880, b"\0")
 
 
-@F.pandas_udf(T.StringType())
-def fits_text(maps: Iterator[pd.Series]) -> Iterator[pd.Series]:
+@F.arrow_udf(T.StringType())
+def fits_text(maps: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    headers: dict[int, bytes] = {}
     for batch in maps:
-        yield batch.map(
-            lambda pixels: base64.b64encode(
-                fits_bytes(
-                    np.array([p["uniq"] for p in pixels]), np.array([p["probdensity"] for p in pixels])
-                )
-            ).decode("ascii")
-        )
+        pixels, ends = batch.values, batch.offsets.to_numpy()
+        uniq, density = (pixels.field(n).to_numpy(zero_copy_only=False) for n in ("uniq", "probdensity"))
+        headers |= {n: fits_headers(n) for n in set(np.diff(ends).tolist()) - headers.keys()}
+        spans = zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)
+        texts = [base64.b64encode(fits_bytes(uniq[a:b], density[a:b], headers[b - a])) for a, b in spans]
+        yield pa.array(texts, pa.binary()).cast(pa.string())
 
 
 # --- raw messages --------------------------------------------------------------------------------------------
