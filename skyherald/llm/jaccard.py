@@ -1,8 +1,12 @@
 """Near copies by the exact Jaccard similarity of their shingle sets.
 
-Candidates come from MinHash bands: BANDS values, each of ROWS minima over the shingles' hashes; texts that agree in one
-are a candidate pair. A pair of similarity s agrees in none with probability (1 - s^ROWS)^BANDS, 5e-8 at 0.8 and less
-beyond. A candidate links only if the two whole sets of 64-bit shingle hashes have a Jaccard similarity of `least` or more.
+Candidates come from SimHash fingerprints and, as a pair at 0.8 differs in too many bits for a grid of fingerprints, from
+MinHash bands. A set's fingerprint has a bit where over half of its shingles' hashes have it; fingerprints are tied by
+`simhash.fingerprint_classes` (two-bit segment popcounts, grid range join, exact distance of NEAR_BITS, star contraction),
+and each set is compared with that of most copies among those its fingerprint is tied to. Bands are BANDS values, each of
+ROWS minima over the shingles' hashes; texts that agree in one are a candidate pair. A pair of similarity s agrees in none
+with probability (1 - s^ROWS)^BANDS, 5e-8 at 0.8 and less beyond. Whatever proposed it, a candidate links only if the two
+whole sets of 64-bit shingle hashes have a Jaccard similarity of `least` or more.
 
 Only distinct sets are joined, so copies are never paired. In each of ROUNDS rounds every band that holds several groups
 elects a hub, and each set is compared with one hub, that with which it shares most bands, so that few comparisons tie a
@@ -10,7 +14,9 @@ dense group together. Of the texts in bands that still hold several groups and m
 no other of them has are counted: such a text's own shingles bound its similarity to the others exactly, and the text with
 the smallest share of them is the band's hub in a last round. Then only candidates across the groups so far are compared: a
 pair is listed in the first band it shares, only if its own shingles leave room for `least`, and only if a bit of each minimum
-differs in at most FAR_BITS of them. A pair of similarity 0.8 differs in more with probability 2e-9. An empty table gives an empty table; columns of any name, clashing ones too, are carried in one struct.
+differs in at most FAR_BITS of them. A pair of similarity 0.8 differs in more with probability 2e-9. Last, a map of MAP_BITS
+bits marks each set's shingles by their hashes: a bit that only one of two sets has stands for a shingle, at least, that the
+other lacks, which bounds the shared ones exactly, before any set travels. An empty table gives an empty table; columns of any name, clashing ones too, are carried in one struct.
 """
 
 from __future__ import annotations
@@ -25,12 +31,17 @@ from pyspark.sql import functions as F
 
 from skyherald.llm.common import batches_of, stored
 from skyherald.llm.components import components
+from skyherald.llm.simhash import fingerprint_classes
 from skyherald.llm.tokens import Words, mixed, text_slices, window_hashes
 
 BANDS, ROWS = 32, 4
 ROUNDS, FAR_BITS = 2, 36
 # own shingles are counted for bands of more members; in smaller ones there are few pairs (nothing is left out either way)
 CROWD = 32
+# fingerprints of so many different bits are tied
+NEAR_BITS = 3
+# bits of the map that bounds what two sets share; a longer one costs bytes in each band row, a shorter one collisions
+MAP_BITS = 2048
 # bytes of text worked on at once, and in an Arrow batch
 SLICE, BATCH = 1 << 19, "4m"
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -64,14 +75,15 @@ def shingles_of(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketches_of(words: Words, size: int) -> tuple[np.ndarray, ...]:
-    """Per row the number of its shingles, two longs that name their set, the BANDS band values, and a bit of each minimum."""
+    """Per row the number of its shingles, two longs that name their set, the BANDS band values, a bit of each minimum, and
+    the fingerprint."""
     rows = len(words.first) - 1
     owner, h = shingles_of(words, size)
     n = np.bincount(owner, minlength=rows)
     key, bands = np.zeros((rows, 2), np.uint64), np.zeros((rows, BANDS), np.uint64)
-    bits = np.zeros((rows, BANDS * ROWS // 64), np.uint64)
+    bits, fp = np.zeros((rows, BANDS * ROWS // 64), np.uint64), np.zeros(rows, np.uint64)
     if not len(h):
-        return n, key, bands, bits
+        return n, key, bands, bits, fp
     filled = np.flatnonzero(n)
     heads = (np.cumsum(n) - n)[filled]
     key[filled, 0], key[filled, 1] = np.add.reduceat(mixed(h), heads), np.add.reduceat(mixed(~h), heads)
@@ -83,11 +95,21 @@ def sketches_of(words: Words, size: int) -> tuple[np.ndarray, ...]:
             value = mixed(value + least)
             bits[filled, k // 64] |= (least & np.uint32(1)).astype(np.uint64) << np.uint64(k % 64)
         bands[filled, band] = value
-    return n, key, bands, bits
+    fp[filled] = _fingerprints(h, heads, n[filled])
+    return n, key, bands, bits, fp
+
+
+def _fingerprints(h: np.ndarray, heads: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """SimHash fingerprint of each run of hashes: a bit is set where over half of the hashes have it."""
+    out = np.zeros(len(heads), np.uint64)
+    for bit in range(64):
+        ones = np.add.reduceat((h >> np.uint64(bit)) & np.uint64(1), heads)
+        out |= (2 * ones > n.astype(np.uint64)).astype(np.uint64) << np.uint64(bit)
+    return out
 
 
 def _sketched(rows: DataFrame, text: int, size: int) -> DataFrame:
-    """Rows (row) as (row, n, k0, k1, bits0, bits1, bands); a text without words has no bands.
+    """Rows (row) as (row, n, k0, k1, bits0, bits1, fp0, bands); a text without words has no bands.
 
     The text is the field of that number in `row`: it goes to the Python worker once.
     """
@@ -96,15 +118,15 @@ def _sketched(rows: DataFrame, text: int, size: int) -> DataFrame:
         for batch in batches:
             longs = lambda x: pa.array(np.ascontiguousarray(x).view(np.int64))
             for lo, hi, w in text_slices(batch.column("row").flatten()[text], SLICE):
-                n, key, bands, bits = sketches_of(w, size)
+                n, key, bands, bits, fp = sketches_of(w, size)
                 ends = np.concatenate([[0], np.cumsum(np.where(n > 0, BANDS, 0))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("row")[lo:hi], pa.array(n.astype(np.int64)), longs(key[:, 0]), longs(key[:, 1]), longs(bits[:, 0]),
-                     longs(bits[:, 1]), pa.ListArray.from_arrays(pa.array(ends), longs(bands[n > 0].ravel()))],
-                    names=["row", "n", "k0", "k1", "bits0", "bits1", "bands"],
+                     longs(bits[:, 1]), longs(fp), pa.ListArray.from_arrays(pa.array(ends), longs(bands[n > 0].ravel()))],
+                    names=["row", "n", "k0", "k1", "bits0", "bits1", "fp0", "bands"],
                 )
 
-    kind = f"row {rows.schema['row'].dataType.simpleString()}, n long, k0 long, k1 long, bits0 long, bits1 long, bands array<long>"
+    kind = f"row {rows.schema['row'].dataType.simpleString()}, n long, k0 long, k1 long, bits0 long, bits1 long, fp0 long, bands array<long>"
     return rows.select("row").mapInArrow(run, kind)
 
 
@@ -122,6 +144,31 @@ def _sets(rows: DataFrame, size: int) -> DataFrame:
     return rows.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
 
 
+def _maps(sets: DataFrame) -> DataFrame:
+    """Sets (node, shingles) as (node, map): MAP_BITS bits as longs, set where a shingle's hash falls."""
+    longs = MAP_BITS // 64
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("shingles")
+            ends, h = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
+            owner = np.repeat(np.arange(len(lists)), np.diff(ends))
+            at = (h[ends[0] : ends[-1]] % np.uint64(MAP_BITS)).astype(np.int64)
+            marks = np.zeros((len(lists), MAP_BITS), np.uint8)
+            marks[owner, at] = 1
+            maps = np.packbits(marks, axis=1, bitorder="little").view(np.int64).ravel()
+            starts = pa.array(np.arange(len(lists) + 1, dtype=np.int32) * longs)
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.ListArray.from_arrays(starts, pa.array(maps))], names=["node", "map"])
+
+    return sets.select("node", "shingles").mapInArrow(run, "node long, map array<long>")
+
+
+def _lacking(a: str, b: str) -> Column:
+    """Of the set with map `a` so many shingles, at least, are not in that with map `b`."""
+    only = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
+    return F.aggregate(only, F.lit(0), lambda so_far, x: so_far + x)
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The pairs (u, v, ...) whose sets have a Jaccard similarity of `least` or more."""
     side = lambda p: sets.select(F.col("node").alias(p), F.col("shingles").alias(p + "_set"))
@@ -174,28 +221,45 @@ def _own_shingles(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     return stored(nodes.join(own, "node", "left").select("node", F.coalesce("own", F.lit(0)).alias("own")), "own-shingles")
 
 
-def _pairs_across(among: DataFrame, own: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+def _fingerprint_pairs(classes: DataFrame, least: float) -> DataFrame:
+    """(u, v, a_root, b_root): each set with that of most copies among those whose fingerprints are tied to its own."""
+    worded = classes.filter("n > 0")
+    fps = stored(worded.groupBy("fp0").agg(F.sum("copies").alias("copies")), "fingerprints")
+    tied = stored(fingerprint_classes(fps, NEAR_BITS, ["fp0"]), "fingerprint-classes").withColumnRenamed("node", "fp0")
+    placed = stored(worded.select("node", "n", "copies", "fp0").join(tied, "fp0").drop("fp0"), "fingerprinted")
+    tops = placed.groupBy("root").agg(F.max(F.struct("copies", "node", "n")).alias("top"), F.count(F.lit(1)).alias("sets"))
+    tops = tops.filter("sets > 1").select("root", F.col("top.node").alias("v"), F.col("top.n").alias("v_n"))
+    met = placed.join(tops, "root").filter((F.col("node") != F.col("v")) & _sizes_fit("n", "v_n", least))
+    return met.select(F.col("node").alias("u"), "v", F.col("node").alias("a_root"), F.col("v").alias("b_root"))
+
+
+def _pairs_across(among: DataFrame, own: DataFrame, maps: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     """(u, v, a_root, b_root): candidates of different groups, each in the first band the two share."""
     # half of each band value tells which bands two sets share
     marks = classes.select("node", "bits0", "bits1", F.transform("bands", lambda b: F.shiftright(b, 32).cast("int")).alias("marks"))
-    across = stored(among.drop("members").join(marks, "node").join(own, "node", "left"), "across-bands")
+    known = stored(marks.join(maps, "node").join(own, "node", "left"), "across-nodes")
+    across = stored(among.drop("members").join(known, "node"), "across-bands")
     side = lambda p: across.select("band", *[F.col(c).alias(f"{p}_{c}") for c in across.columns if c != "band"])
     apart = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in ("bits0", "bits1")), F.lit(0))
     first = F.array_position(F.zip_with("a_marks", "b_marks", lambda x, y: x == y), True) == F.col("a_place") + 1
     # m shared shingles give a similarity of m / (a + b - m); own ones are known to be missing if both sets were counted
     most = F.least(F.col("a_n") - F.col("a_own"), F.col("b_n") - F.col("b_own"))
     room = F.coalesce(most * (1 + least) >= (F.col("a_n") + F.col("b_n")) * least - 1e-6, F.lit(True))
-    on = (F.col("a_root") < F.col("b_root")) & _sizes_fit("a_n", "b_n", least) & room & (apart <= FAR_BITS) & first
+    most = F.least(F.col("a_n") - _lacking("a_map", "b_map"), F.col("b_n") - _lacking("b_map", "a_map"))
+    enough = most * (1 + least) >= (F.col("a_n") + F.col("b_n")) * least - 1e-6
+    on = (F.col("a_root") < F.col("b_root")) & _sizes_fit("a_n", "b_n", least) & room & (apart <= FAR_BITS) & first & enough
     met = side("a").join(side("b").withColumnRenamed("band", "b_band"), (F.col("band") == F.col("b_band")) & on)
     return met.select(F.col("a_node").alias("u"), F.col("b_node").alias("v"), "a_root", "b_root")
 
 
 def _roots(classes: DataFrame, marked: DataFrame, text: str, size: int, least: float) -> DataFrame:
-    """(node, root) of the classes that share a band with others; root names the component."""
+    """(node, root) of the classes that share a band or have a near fingerprint with others; root names the component."""
     banded = classes.select("node", "n", "copies", F.posexplode("bands").alias("place", "band"))
     crowded = stored(banded.groupBy("band").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("band"), "crowded-bands")
     shared = stored(banded.join(crowded, "band"), "shared-bands")
-    roots = stored(shared.select("node").distinct().withColumn("root", F.col("node")), "roots")
+    near = stored(_fingerprint_pairs(classes, least), "near-fingerprints")
+    met = shared.select("node").unionByName(near.select(F.col("u").alias("node"))).unionByName(near.select(F.col("v").alias("node")))
+    roots = stored(met.distinct().withColumn("root", F.col("node")), "roots")
     texts = marked.select("at", F.col("row").getField(text).alias("text"))
     named = classes.select("node", F.col("first.at").alias("at")).join(roots.select("node"), "node")
     with batches_of(marked.sparkSession, BATCH):
@@ -205,6 +269,7 @@ def _roots(classes: DataFrame, marked: DataFrame, text: str, size: int, least: f
         links = _linked(stored(found, "pairs"), sets, least).select(F.col("a_root").alias("u"), F.col("b_root").alias("v"))
         return _merged(roots, links, "roots")
 
+    roots = tied(roots, near)
     for turn in range(ROUNDS):
         rank = F.col("copies") if turn == 0 else F.xxhash64(F.lit(turn), "node")
         roots = tied(roots, _hub_pairs(shared.join(roots, "node"), rank, least))
@@ -213,7 +278,9 @@ def _roots(classes: DataFrame, marked: DataFrame, text: str, size: int, least: f
     own = _own_shingles(crowd.select("node").distinct(), sets)
     roots = tied(roots, _hub_pairs(crowd.join(own, "node"), -F.col("own") / F.col("n"), least))
     among = _among_groups(among.drop("root", "members"), roots, "still-among-groups")
-    return tied(roots, _pairs_across(among, own, classes, least))
+    with batches_of(marked.sparkSession, BATCH):
+        maps = stored(_maps(sets.join(among.select("node").distinct(), "node", "left_semi")), "shingle-maps")
+    return tied(roots, _pairs_across(among, own, maps, classes, least))
 
 
 def drop_near_copies(
@@ -232,7 +299,7 @@ def drop_near_copies(
     first = F.min(F.struct(ident.isNull().alias("no_id"), ident.alias("id"), "at")).alias("first")
     classes = marked.groupBy("k0", "k1").agg(
         first, F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
-        *[F.first(c).alias(c) for c in ("bits0", "bits1", "bands")],
+        *[F.first(c).alias(c) for c in ("bits0", "bits1", "fp0", "bands")],
     )
     classes = stored(classes.select("*", F.monotonically_increasing_id().alias("node")), "classes")
     roots = _roots(classes, marked, text, shingle, least)
