@@ -212,7 +212,12 @@ def _range_uniqs(a: Column, b: Column) -> Column:
 
         return sky.let(pick, here=exact(level), up=exact(F.greatest(level - 1, F.lit(0))))
 
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(sky.MAX_LEVEL)), cells))
+    # cells of coarser levels are longer than the range, and a cut at finer levels than both ends are on adds none
+    size, ends = b - a, a.bitwiseOR(b)
+    coarsest = F.greatest(F.lit(sky.MAX_LEVEL) - F.floor((F.length(F.bin(size)) - 1) / 2), F.lit(0)).cast("int")
+    zeros = F.bit_count(ends.bitwiseAND(-ends) - 1)
+    finest = F.greatest(F.lit(sky.MAX_LEVEL) - F.floor(zeros / 2), F.lit(0)).cast("int")
+    return F.flatten(F.transform(F.sequence(coarsest, F.greatest(coarsest, finest)), cells))
 
 
 def _span(lo: Column, hi: Column) -> Column:
