@@ -3,8 +3,9 @@
 Texts go to the tokenizer in batches of about BATCH_BYTES and only lengths come back, so that neither tokens nor texts
 return to the JVM. Where the file's own rules make it safe, a text of more than PIECE_CHARS is cut into pieces that are
 encoded one by one: no token of a byte-level vocabulary with the usual word pattern goes from a character that is not white
-space into white space, and what follows such a place does not depend on what stands before it. Other vocabularies, and
-runs without such a place, are encoded whole.
+space into white space, and what follows such a place does not depend on what stands before it. For the same reason the
+number of tokens of a word with the blanks before it is the same wherever it stands: under such vocabularies a worker gives
+each different one to the library once and adds up. Other vocabularies, and runs without such a place, are encoded whole.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import json
 import os
 import re
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,6 +25,12 @@ from skyherald.llm.common import released
 
 BATCH_BYTES = 1 << 20
 PIECE_CHARS = 1 << 16
+# a word with the blanks before it; white space that is no such blank may belong to a run of both
+_WORD = re.compile("[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
+_OTHER_SPACE = re.compile("[^\\S \t\r\n]")
+# a worker remembers so many words, none longer than this
+KNOWN_WORDS = 1 << 18
+WORD_CHARS = 64
 # before a blank after other text; in scripts without blanks, between a full stop or comma and a letter
 _SAFE = re.compile("(?<=\\S)(?=[ \t\r\n])|(?<=[、。，！？；：])(?=[ぁ-ゖァ-ヺ一-龥가-힣])")
 
@@ -52,6 +60,25 @@ def cuts_are_safe(vocabulary: dict) -> bool:
     )
 
 
+def by_words(count: Callable[[list[str]], list[int]], most: int = KNOWN_WORDS) -> Callable[[list[str]], list[int]]:
+    """`count` for texts that may be cut: each different word is counted once, as long as it is remembered."""
+    known: dict[str, int] = {}
+
+    def counted(texts: list[str]) -> list[int]:
+        if len(known) > most:
+            known.clear()
+        words = [_WORD.findall(t) if _OTHER_SPACE.search(t) is None else [t] for t in texts]
+        fresh = list(set(chain.from_iterable(words)).difference(known))
+        known.update(zip(fresh, count(fresh), strict=True))
+        out = [sum(map(known.__getitem__, w)) for w in words]
+        for w in fresh:
+            if len(w) > WORD_CHARS:
+                del known[w]
+        return out
+
+    return counted
+
+
 def loaded(path: str) -> tuple[Callable[[list[str]], list[int]], bool]:
     """(texts -> numbers of tokens, whether texts may be cut) for a .json or .model file."""
     if path.endswith(".json"):
@@ -63,7 +90,11 @@ def loaded(path: str) -> tuple[Callable[[list[str]], list[int]], bool]:
         tokenizer.no_padding()
         with open(path, encoding="utf-8") as file:
             safe = cuts_are_safe(json.load(file))
-        return lambda texts: [len(e) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)], safe
+
+        def count(texts: list[str]) -> list[int]:
+            return [len(e) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+        return by_words(count) if safe else count, safe
     if path.endswith(".model"):
         from sentencepiece import SentencePieceProcessor
 
