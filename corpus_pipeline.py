@@ -16,6 +16,7 @@ from skyherald.llm.jaccard import drop_near_copies
 from skyherald.llm.packing import packed
 from skyherald.llm.pii import redact
 from skyherald.llm.quality import keep_good
+from skyherald.session import SETTINGS
 
 # tasks get the package with the functions they run
 cloudpickle.register_pickle_by_value(skyherald)
@@ -24,6 +25,15 @@ cloudpickle.register_pickle_by_value(skyherald)
 NEAR_SHINGLE, NEAR_LEAST = 5, 0.8
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Python workers get the Arrow batches of the jobs' sessions, also in a session that somebody else built and that says
+    nothing of them: else 10,000 texts at once, held by the worker and by the executor beside its heap. The stages are lazy, so
+    it stays set."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, SETTINGS[key])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the weighed votes reject go."""
     return keep_good(docs)
@@ -36,11 +46,13 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, also with a few edits, go."""
+    _small_batches(spark)
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data give way to the name of their kind in brackets; `n_chars` is that of the new text."""
+    _small_batches(spark)
     return redact(docs)
 
 

@@ -89,3 +89,38 @@ def test_packing_stage_places_every_word(stages):
     for r in after.collect():
         placed[r.doc_id] = placed.get(r.doc_id, 0) + r.n_tokens
     assert placed == words
+
+
+def test_python_stages_get_small_batches(spark, tmp_path, monkeypatch):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.range(3000).selectExpr("id as doc_id", "repeat(concat('word', id, ' '), 800) as text").coalesce(1).write.parquet(f"{tmp_path}/docs")
+    spark.createDataFrame([(1, "no document holds this sentence")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    sizes = f"{tmp_path}/sizes"
+
+    def noted(run):
+        def noting(batches):
+            def each():
+                for batch in batches:
+                    with open(sizes, "a") as f:
+                        f.write(f"{batch.nbytes}\n")
+                    yield batch
+
+            return run(each())
+
+        return noting
+
+    scan = decontaminate._scan
+    monkeypatch.setattr(decontaminate, "_scan", lambda *a: noted(scan(*a)))
+    monkeypatch.setattr(pii, "_find", noted(pii._find))
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    spark.conf.unset(key)
+    try:
+        for stage in (cp.decontamination, cp.pii_redaction):
+            spark.conf.unset(key)
+            assert stage(spark, docs, str(tmp_path)).count() == 3000
+    finally:
+        spark.conf.set(key, before)
+    found = [int(x) for x in open(sizes)]
+    # a batch may pass the bound by a row; text and row are both in it
+    assert found and max(found) < 2 * (4 << 20)
